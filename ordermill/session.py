@@ -18,11 +18,23 @@ SEMANTIC_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
 }
 
-# Settings for throughput; a cluster deployment sizes shuffle partitions itself.
-DEFAULT_CONF = {
+# Join and shuffle policy, also pinned per query:
+#  - no broadcast from static estimates (parquet sizes are compressed bytes
+#    and under-state a table several times); the planner uses shuffle joins
+#    and AQE turns a join into a broadcast only when the measured map output
+#    of a side is under the runtime threshold.  Tables with a fixed size
+#    bound (nation, region, the campaign list) carry explicit broadcast hints.
+#  - AQE coalesces small shuffle partitions and splits skewed join partitions.
+PLAN_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+# Settings for throughput; a cluster deployment sizes shuffle partitions itself.
+DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "8g",
@@ -35,7 +47,7 @@ def get_spark(app: str = "ordermill", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **SEMANTIC_CONF, **(extra or {})}.items():
+    for k, v in {**DEFAULT_CONF, **SEMANTIC_CONF, **PLAN_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -46,8 +58,8 @@ def get_spark(app: str = "ordermill", master: str | None = None,
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the confs the results depend on (the caller may own the session)."""
-    for k, v in SEMANTIC_CONF.items():
+    """Pin the confs the results and plans rely on (the caller may own the session)."""
+    for k, v in {**SEMANTIC_CONF, **PLAN_CONF}.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark

@@ -19,12 +19,17 @@ TABLE_NAMES = ("region nation customer supplier part orders lineitem events "
 
 
 class Tables:
-    """Lazy name -> DataFrame lookup over one folder of parquet tables."""
+    """Lazy name -> DataFrame lookup over one folder of parquet tables.
+    Relations are resolved once per session and folder (file listing and
+    footer reads are not repeated for every query)."""
+
+    _relations: dict = {}
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
-        self._cache: dict[str, DataFrame] = {}
+        key = (spark.sparkContext.applicationId, id(spark), self.root)
+        self._cache: dict[str, DataFrame] = Tables._relations.setdefault(key, {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
