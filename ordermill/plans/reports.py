@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import avg_round, ratio_round, sum_units
+from ordermill.operators.joins import star_join
 
 # Report constants.
 ORGANIC = "No Campaign (Organic)"
@@ -29,7 +30,7 @@ def order_count():
 
 
 def _with_product(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    return fact.join(dim_product.select("product_key", "category"), "product_key")
+    return star_join(fact, dim_product.select("product_key", "category"), "product_key")
 
 
 def revenue_by_category(fact: DataFrame, dim_product: DataFrame,
@@ -52,7 +53,7 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOME
     """Top k (name, membership) groups by lifetime revenue.  Customers
     sharing a name and membership merge into one group.  Ties are broken by
     name, then membership, so the k rows are deterministic."""
-    j = fact.join(dim_customer.select("customer_key", "customer_name", "membership_type"),
+    j = star_join(fact, dim_customer.select("customer_key", "customer_name", "membership_type"),
                   "customer_key")
     return (j.groupBy("customer_name", "membership_type")
             .agg(order_count().alias("order_count"), total_revenue().alias("lifetime_revenue"))
@@ -63,7 +64,7 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOME
 def campaign_effectiveness(fact: DataFrame, dim_campaign: DataFrame) -> DataFrame:
     """Revenue attributed to each campaign vs organic orders (no campaign or
     a campaign key with no dimension row)."""
-    j = fact.join(dim_campaign.select("campaign_key", "campaign_name"), "campaign_key", "left")
+    j = star_join(fact, dim_campaign.select("campaign_key", "campaign_name"), "campaign_key", "left")
     name = F.coalesce(F.col("campaign_name"), F.lit(ORGANIC)).alias("campaign_name")
     return (j.groupBy(name)
             .agg(order_count().alias("order_count"), total_revenue().alias("total_revenue"),

@@ -25,7 +25,11 @@ SEMANTIC_CONF = {
 #    of a side is under the runtime threshold.  Tables with a fixed size
 #    bound (nation, region, the campaign list) carry explicit broadcast hints.
 #  - AQE coalesces small shuffle partitions and splits skewed join partitions.
+#  - generated methods above HotSpot's JIT limit (8000 bytes of bytecode) are
+#    never compiled and run interpreted; stages that would produce one (the
+#    wide validation projection) fall back to per-expression codegen instead.
 PLAN_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",

@@ -37,10 +37,21 @@ class Tables:
             ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)]
             if ntz:
                 df = df.withColumns({c: F.col(c).cast("timestamp") for c in ntz})
-            self._cache[name] = df
+            self._cache[name] = spread(df)
         return self._cache[name]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A source read in fewer splits than the cluster has cores (one file of
+    one row group) is dealt round-robin over the cores; the narrow work
+    after the scan (text building, parsing) then runs in parallel.  Sources
+    with enough splits, as at scale, are left as they are (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _customer_geo(t: Tables) -> DataFrame:
     # nation (25 rows) and region (5 rows) are fixed-size: broadcast is bounded.
     nation = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
