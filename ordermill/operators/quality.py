@@ -3,6 +3,8 @@ returns one (table, column, check, failures) row per declared check."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def not_null_failures(df: DataFrame, col: str) -> DataFrame:
 def unique_failures(df: DataFrame, cols) -> DataFrame:
     """Keys (non-null) that occur more than once, with their count."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    return (df.where(F.coalesce(*[F.col(c).isNotNull() for c in cols]))
+    return (df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
             .groupBy(*cols).agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"))
 
 
@@ -50,14 +52,30 @@ def _count(df: DataFrame, table: str, col: str, check: str) -> DataFrame:
         F.lit(check).alias("test"), "failures")
 
 
+def _not_null_counts(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
+    """All not-null checks of one table in a single aggregate pass, unpivoted
+    to one row per column."""
+    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    long = agg.unpivot([], cols, "column_name", "failures")
+    return long.select(F.lit(table).alias("table_name"), "column_name",
+                       F.lit("not_null").alias("test"), "failures")
+
+
 def run_suite(tables: dict[str, DataFrame], checks=STAR_SCHEMA_CHECKS) -> DataFrame:
-    """All checks as one plan: a union of one-row aggregates."""
+    """All checks as one plan: per table one pass for every not-null check,
+    one grouped pass per unique key, one anti join per relationship."""
     parts = []
+    not_null: dict[str, list[str]] = {}
+    for table, col, check, target in checks:
+        if check == "not_null":
+            not_null.setdefault(table, []).append(col)
+    for table, cols in not_null.items():
+        parts.append(_not_null_counts(tables[table], table, cols))
     for table, col, check, target in checks:
         df = tables[table]
         if check == "not_null":
-            f = not_null_failures(df, col)
-        elif check == "unique":
+            continue
+        if check == "unique":
             f = unique_failures(df, col)
         elif check == "relationships":
             f = relationship_failures(df, col, tables[target[0]], target[1])
