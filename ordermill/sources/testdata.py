@@ -37,15 +37,16 @@ class Tables:
             ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)]
             if ntz:
                 df = df.withColumns({c: F.col(c).cast("timestamp") for c in ntz})
-            self._cache[name] = spread(df)
+            self._cache[name] = df
         return self._cache[name]
 
 
 def spread(df: DataFrame) -> DataFrame:
     """A source read in fewer splits than the cluster has cores (one file of
-    one row group) is dealt round-robin over the cores; the narrow work
-    after the scan (text building, parsing) then runs in parallel.  Sources
-    with enough splits, as at scale, are left as they are (no shuffle)."""
+    one row group) is dealt round-robin over the cores, so heavy narrow work
+    after the scan (text building, parsing) runs in parallel.  Used only
+    before such work (joins shuffle anyway); sources with enough splits, as
+    at scale, are left as they are (no shuffle)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
@@ -190,7 +191,7 @@ def order_text_rows(t: Tables) -> DataFrame:
     every tenth id and otherwise float text like '3.0'.  The key
     user_id % 10 '-' event_type repeats, which the dedup operators need.
     """
-    e = t["events"]
+    e = spread(t["events"])
     eid, uid = F.col("event_id"), F.col("user_id")
     s = lambda c: c.cast("string")
     quantity = (F.when(eid % 97 == 0, F.lit("N/A"))
@@ -241,7 +242,7 @@ def product_text_rows(t: Tables) -> DataFrame:
     levels every 31st."""
     k = F.col("p_partkey")
     s = lambda c: c.cast("string")
-    return t["part"].select(
+    return spread(t["part"]).select(
         F.when(k % 199 == 7, F.lit("")).otherwise(s(k)).alias("product_id"),
         F.col("p_type").alias("category"),
         s(F.col("p_size")).alias("subcategory"),
