@@ -44,3 +44,25 @@ def to_messages(rows: DataFrame, now: Column | None = None, late_offset_s: int =
     late_offset_s, ready for a text / Kafka sink."""
     stamped = stamp_event_time(rows, now, late_offset_s)
     return encode_orders(stamped, extra=["event_timestamp"]).select("value", "event_timestamp")
+
+
+def publish(messages: DataFrame, path: str) -> None:
+    """Message sink: one JSON message per line of text files in ``path``
+    (the file source of the stream job reads them as they arrive)."""
+    messages.select("value").write.mode("append").text(path)
+
+
+def run_replay(spark, csv_path: str, out_path: str, good: DataFrame | None,
+               errors: DataFrame | None, now: Column | None = None, late_offset_s: int = 0) -> dict:
+    """Replay job: rows of an order file whose id was neither landed nor
+    rejected are stamped with an event time and published as messages."""
+    from ordermill.schemas import ORDER_COLUMNS
+    from ordermill.sources.files import read_csv_strings
+
+    rows = read_csv_strings(spark, csv_path, ORDER_COLUMNS)
+    pending = pending_rows(rows, good, errors)
+    counts = rows.agg(F.count(F.lit(1)).alias("rows")).first().asDict()
+    msgs = to_messages(pending, now, late_offset_s)
+    publish(msgs, out_path)
+    sent = spark.read.text(out_path).count()
+    return {"rows": counts["rows"], "sent_total": sent}

@@ -39,7 +39,6 @@ PLAN_CONF = {
 
 # Settings for throughput; a cluster deployment sizes shuffle partitions itself.
 DEFAULT_CONF = {
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",

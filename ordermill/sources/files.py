@@ -59,8 +59,10 @@ def _delete_partitions(spark: SparkSession, path: str, column: str, values) -> N
 # --- sinks ---------------------------------------------------------------------------
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
+                mode: str = "overwrite", replace: str = "static") -> None:
+    """Write a table.  ``replace``: 'static' (an overwrite replaces the whole
+    table) or 'dynamic' (only the partitions present in ``df``)."""
+    w = df.write.mode(mode).option("partitionOverwriteMode", replace)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -97,8 +99,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[s
         return
     old = target.where(F.col(partition_by).isin(touched_values))
     merged = upsert(old, source, keys).checkpoint()  # lineage cut: old files get replaced
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    write_table(merged, path, [partition_by])
+    write_table(merged, path, [partition_by], replace="dynamic")
     kept = {r[0] for r in merged.select(partition_by).distinct().collect()}
     _delete_partitions(spark, path, partition_by, [v for v in touched_values if v not in kept])
 

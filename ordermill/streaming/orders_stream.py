@@ -67,7 +67,9 @@ def write_batch(good_path: str, bad_path: str):
         batch.persist()
         try:
             (batch.where(F.col("kind") == GOOD).select("good.*")
-             .write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("order_date")
+             .parquet(f"{good_path}/batch_id={batch_id}"))
             (batch.where(F.col("kind") == BAD).select("bad.*")
              .write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}"))
         finally:
