@@ -26,6 +26,7 @@ from ordermill.schemas import ORDERS_STREAM
 from ordermill.sources.messages import decode_orders
 
 GOOD, BAD = "good", "bad"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300,
@@ -81,6 +82,12 @@ def start(messages: DataFrame, good_path: str, bad_path: str, checkpoint: str,
           window_s: int = 60, lateness_s: int = 300, trigger: dict | None = None):
     """Start the stream.  ``trigger`` e.g. {"processingTime": "30 seconds"}
     (the early-firing cadence) or {"availableNow": True} for a catch-up run."""
+    spark = messages.sparkSession
+    # Dedup state lives in RocksDB (off-heap, spills to local disk, snapshots
+    # to the checkpoint) unless the deployment chose a provider itself.
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "HDFSBackedStateStoreProvider" in (spark.conf.get(key, "") or "HDFSBacked"):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
     out = orders_stream(messages, window_s, lateness_s)
     w = (out.writeStream.foreachBatch(write_batch(good_path, bad_path))
          .option("checkpointLocation", checkpoint).outputMode("append"))
