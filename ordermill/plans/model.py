@@ -115,7 +115,8 @@ class Model:
 
     @cached_property
     def fact_orders_incremental(self):
-        return marts.fact_orders(self.int_orders_unioned, existing=self.fact_orders_first_run)
+        return marts.incremental_fact(self.stg_orders_batch, self.stg_orders_stream,
+                                      existing=self.fact_orders_first_run)
 
     # validation inputs -----------------------------------------------------------
     @cached_property
