@@ -34,16 +34,21 @@ def ingest_orders(spark: SparkSession, csv_path: str, raw_root: str,
 
 
 def ingest_reference(spark: SparkSession, name: str, csv_path: str, raw_root: str,
-                     clock: Column | None = None) -> None:
+                     clock: Column | None = None) -> dict:
     """Reference table: text -> coerced types -> rows with a key -> upsert by key.
     A key repeated inside one file is an error (a MERGE would reject it)."""
     clock = F.current_timestamp() if clock is None else clock
     spec, schema = DIMENSION_SPECS[name], DIM_SCHEMAS[name]
     cols = [f.name for f in schema.fields if f.name != "ingestion_timestamp"]
     rows = read_csv_strings(spark, csv_path, cols).drop("_pos")
-    typed = V.coerce_dimension(rows, spec).withColumn("ingestion_timestamp", clock)
+    coerced = V.coerce_dimension(rows, spec)
+    typed = coerced.withColumn("ingestion_timestamp", clock)
     typed = typed.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     dup = typed.groupBy(*spec["key"]).count().where("count > 1").limit(1).collect()
     if dup:
         raise ValueError(f"{name}: key {dup[0][0]} occurs more than once in {csv_path}")
     upsert_table(spark, typed, f"{raw_root}/{name}", spec["key"])
+    total = rows.count()
+    loaded = spark.read.parquet(f"{raw_root}/{name}").count()
+    return {"rows": total, "kept": coerced.count(), "dropped_missing_key": total - coerced.count(),
+            "table_rows": loaded}

@@ -61,8 +61,8 @@ def run_replay(spark, csv_path: str, out_path: str, good: DataFrame | None,
 
     rows = read_csv_strings(spark, csv_path, ORDER_COLUMNS)
     pending = pending_rows(rows, good, errors)
-    counts = rows.agg(F.count(F.lit(1)).alias("rows")).first().asDict()
     msgs = to_messages(pending, now, late_offset_s)
     publish(msgs, out_path)
-    sent = spark.read.text(out_path).count()
-    return {"rows": counts["rows"], "sent_total": sent}
+    total, sent = rows.count(), pending.count()
+    return {"rows": total, "sent": sent, "skipped": total - sent,
+            "sent_total": spark.read.text(out_path).count()}

@@ -95,3 +95,18 @@ def test_date_spine(spark):
     assert last.date_key == dt.date(2025, 12, 14)
     first = dd.orderBy("date_key").first()
     assert (first.day_name, first.month_name, first.day_of_week, first.quarter) == ("Thursday", "January", 5, 1)
+
+
+def test_reference_load_coerces_and_drops_missing_keys(spark, tmp):
+    from ordermill.plans.batch_job import ingest_reference
+    csv = os.path.join(tmp, "products.csv")
+    with open(csv, "w") as f:
+        f.write("product_id,category,subcategory,brand,season_tag,mrp,profit_margin_pct,supplier_name,stock_level\n")
+        f.write("1,Shoes,Run,Acme,Summer,100.5,12.5,S1,10\n")
+        f.write(",Shoes,Run,Acme,Summer,100.5,12.5,S1,10\n")
+        f.write("2,Bags,Tote,Acme,Winter,n/a,x,S2,many\n")
+    out = ingest_reference(spark, "products", csv, os.path.join(tmp, "raw"),
+                           F.lit(dt.datetime(2026, 6, 1)).cast("timestamp"))
+    assert out == {"rows": 3, "kept": 2, "dropped_missing_key": 1, "table_rows": 2}
+    p2 = spark.read.parquet(os.path.join(tmp, "raw", "products")).where("product_id = 2").first()
+    assert p2.mrp is None and p2.stock_level is None and p2.category == "Bags"
