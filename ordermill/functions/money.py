@@ -56,6 +56,7 @@ def _round_div(num: Column, den: Column) -> Column:
     # restored.  The floor is taken as (x - x % y) / y: DECIMAL remainder is
     # exact and the division of an exact multiple is exact, so no rounding of
     # an intermediate quotient can carry across an integer.
+    den = F.when(den > 0, den)  # no values: null, as avg() gives
     x = F.abs(num) * 2 + den
     y = den * 2
     mag = ((x - x % y) / y).cast("decimal(38,0)")

@@ -46,21 +46,13 @@ def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300
     bad = V.error_rows(checked, "stream", F.col("arrival_ts"))
     good_struct = F.struct(*[F.col(f.name) for f in ORDERS_STREAM.fields])
     bad_struct = F.struct(*[F.col(c) for c in bad.columns])
-    return (good.select(F.lit(GOOD).alias("kind"), good_struct.alias("good"),
-                        F.lit(None).cast(bad_struct_type(bad)).alias("bad"))
-            .unionByName(bad.select(F.lit(BAD).alias("kind"),
-                                    F.lit(None).cast(good_struct_type()).alias("good"),
+    no_good = F.lit(None).cast(ORDERS_STREAM)
+    no_bad = F.lit(None).cast(bad.schema)
+    return (good.select(F.lit(GOOD).alias("kind"), good_struct.alias("good"), no_bad.alias("bad"))
+            .unionByName(bad.select(F.lit(BAD).alias("kind"), no_good.alias("good"),
                                     bad_struct.alias("bad"))))
 
 
-def good_struct_type():
-    return ORDERS_STREAM
-
-
-def bad_struct_type(bad: DataFrame):
-    return bad.schema
-
-
 def write_batch(good_path: str, bad_path: str):
     """foreachBatch function: both sinks from one micro-batch, idempotent per
     batch id (a replay overwrites its own folder)."""
