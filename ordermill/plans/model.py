@@ -145,3 +145,19 @@ class Model:
         """Good stream rows with their window and ingestion (arrival) time."""
         g = self.validated_stream.where(F.col("error_reason").isNull())
         return g.withColumn("ingestion_timestamp", F.col("arrival_ts"))
+
+    # SQL access -----------------------------------------------------------------
+    VIEW_LAYERS = ("raw_orders_batch", "raw_orders_stream", "raw_customers", "raw_products",
+                   "raw_campaigns", "stg_orders_batch", "stg_orders_stream", "stg_customers",
+                   "stg_products", "stg_campaigns", "int_orders_unioned", "dim_customer",
+                   "dim_product", "dim_campaign", "dim_date", "fact_orders")
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every layer as a temp view (lazy: a view is the plan, not a
+        copy), so reports can also be written as Spark SQL."""
+        names = []
+        for layer in self.VIEW_LAYERS:
+            name = prefix + layer
+            getattr(self, layer).createOrReplaceTempView(name)
+            names.append(name)
+        return names
