@@ -61,27 +61,47 @@ def _not_null_counts(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
                        F.lit("not_null").alias("test"), "failures")
 
 
+def _relationship_counts(df: DataFrame, table: str, rels: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """All relationship checks of one table in a single pass: the child is
+    left-joined to each parent's distinct keys (one row per key, so no row
+    is multiplied; bounded parents are broadcast) and orphans are counted
+    in one aggregate."""
+    from ordermill.operators.joins import star_join
+
+    cols = []
+    j = df.select(*{c for c, _, _ in rels})
+    for i, (col, parent, parent_col) in enumerate(rels):
+        flag = f"_has_parent_{i}"
+        keys = parent.select(F.col(parent_col).alias(col)).distinct().withColumn(flag, F.lit(True))
+        j = star_join(j, keys, col, "left")
+        cols.append((col, F.count_if(F.col(col).isNotNull() & F.col(flag).isNull()).alias(col)))
+    agg = j.agg(*[c for _, c in cols])
+    names = [c for c, _ in cols]
+    long = agg.unpivot([], names, "column_name", "failures")
+    return long.select(F.lit(table).alias("table_name"), "column_name",
+                       F.lit("relationships").alias("test"), "failures")
+
+
 def run_suite(tables: dict[str, DataFrame], checks=STAR_SCHEMA_CHECKS) -> DataFrame:
     """All checks as one plan: per table one pass for every not-null check,
-    one grouped pass per unique key, one anti join per relationship."""
+    one pass for every relationship check, one grouped pass per unique key."""
     parts = []
     not_null: dict[str, list[str]] = {}
+    rels: dict[str, list] = {}
     for table, col, check, target in checks:
         if check == "not_null":
             not_null.setdefault(table, []).append(col)
+        elif check == "relationships":
+            rels.setdefault(table, []).append((col, tables[target[0]], target[1]))
+        elif check != "unique":
+            raise ValueError(f"unknown check {check}")
     for table, cols in not_null.items():
         parts.append(_not_null_counts(tables[table], table, cols))
+    for table, rs in rels.items():
+        parts.append(_relationship_counts(tables[table], table, rs))
     for table, col, check, target in checks:
-        df = tables[table]
-        if check == "not_null":
-            continue
         if check == "unique":
-            f = unique_failures(df, col)
-        elif check == "relationships":
-            f = relationship_failures(df, col, tables[target[0]], target[1])
-        else:
-            raise ValueError(f"unknown check {check}")
-        parts.append(_count(f, table, col, check))
+            parts.append(_count(unique_failures(tables[table], col), table, col, check))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
