@@ -9,6 +9,10 @@ from tests.conftest import SF_SMALL
 from tools.check_oracle import canon
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE",
+         "timestamp": "TIMESTAMP", "int": "INTEGER", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -25,10 +29,12 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
-    cols = [d[0] for d in res.description]
+    rel = con.sql(E.oracle_sql()[name])
+    cols = rel.columns
     assert sorted(df.columns) == sorted(cols)
-    assert canon(df.columns, rows) == canon(cols, res.fetchall())
+    spark_types = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    assert spark_types == {c: str(t) for c, t in zip(cols, rel.types)}
+    assert canon(df.columns, rows) == canon(cols, rel.fetchall())
 
 
 def test_entry_smoke(spark):
