@@ -81,3 +81,37 @@ def test_replay_job_publishes_pending_rows(spark, tmp):
     sent = [json.loads(r.value) for r in spark.read.text(out).collect()]
     assert sorted(m["order_id"] for m in sent) == ["N1", "N2", "N3"]
     assert {m["event_timestamp"] for m in sent} == {"2026-05-30T09:51:40.000000Z"}
+
+
+def test_stream_equals_batch_on_the_events_stand_in(spark, tmp):
+    """Same messages through the stream job and through the batch operators:
+    the same error ids, and one kept copy per (order_id, 60 s window)."""
+    from ordermill.operators import validate as V
+    from ordermill.operators.dedup import dedup
+    from ordermill.sources import testdata as td
+    from ordermill.sources.messages import decode_orders
+    from tests.conftest import SF_SMALL
+
+    msgs = td.order_messages(td.Tables(spark, SF_SMALL)).select("value", "arrival_ts")
+    src = os.path.join(tmp, "in")
+    msgs.select(F.to_json(F.struct("value", F.date_format("arrival_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                                   .alias("arrival"))).alias("j")).coalesce(1).write.text(src)
+    stream = (spark.readStream.schema("value string, arrival string").json(src)
+              .withColumn("arrival_ts", F.to_timestamp("arrival")))
+    good_p, bad_p, ck = (os.path.join(tmp, x) for x in ("good", "bad", "ck"))
+    q = start(stream, good_p, bad_p, ck, window_s=60, lateness_s=300, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+
+    v = V.validate_orders(decode_orders(msgs), "stream", raw=F.col("value"),
+                          arrival_ts=F.col("arrival_ts"), window_s=60, lateness_s=300)
+    batch_errors = {r.error_id for r in V.error_rows(v, "stream").collect()}
+    stream_errors = {r.error_id for r in spark.read.parquet(bad_p).collect()}
+    assert stream_errors == batch_errors and len(batch_errors) > 0
+
+    win = lambda df: df.withColumn("w", F.window("event_timestamp", "60 seconds").start)
+    batch_keys = {(r.order_id, r.w) for r in dedup(win(v.where("error_reason is null")),
+                                                   ["order_id", "w"], ["arrival_ts"]).collect()}
+    stream_rows = win(spark.read.parquet(good_p)).collect()
+    assert {(r.order_id, r.w) for r in stream_rows} == batch_keys
+    assert len(stream_rows) == len(batch_keys)
