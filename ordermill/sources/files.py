@@ -62,6 +62,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite", replace: str = "static") -> None:
     """Write a table.  ``replace``: 'static' (an overwrite replaces the whole
     table) or 'dynamic' (only the partitions present in ``df``)."""
+    if partition_by:
+        # Rebalance on the partition columns: rows of one partition value land
+        # in few files, and AQE splits a value too big for one task.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("partitionOverwriteMode", replace)
     if partition_by:
         w = w.partitionBy(*partition_by)
