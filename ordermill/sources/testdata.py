@@ -41,14 +41,20 @@ class Tables:
         return self._cache[name]
 
 
+# Inputs of at most this many splits may be spread.
+SPREAD_MAX_SPLITS = 4
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A source read in fewer splits than the cluster has cores (one file of
-    one row group) is dealt round-robin over the cores, so heavy narrow work
-    after the scan (text building, parsing) runs in parallel.  Used only
-    before such work (joins shuffle anyway); sources with enough splits, as
-    at scale, are left as they are (no shuffle)."""
+    """A small source read in very few splits (e.g. one file of one row
+    group) is dealt round-robin over the cores, so heavy narrow work after
+    the scan (text building, parsing) runs in parallel.  Only inputs of at
+    most SPREAD_MAX_SPLITS splits qualify (at most a few hundred MB is
+    shuffled for it); anything larger already has parallel splits and is
+    left as it is.  Used only before such work (joins shuffle anyway)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    n = df.rdd.getNumPartitions()
+    if n < cores and n <= SPREAD_MAX_SPLITS:
         return df.repartition(cores)
     return df
 
