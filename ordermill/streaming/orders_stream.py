@@ -70,11 +70,30 @@ def write_batch(good_path: str, bad_path: str):
     return run
 
 
+def check_sink(spark, path: str, schema, must_exist: bool = False) -> None:
+    """An existing sink must hold the expected columns with the same types
+    (appending other shapes would corrupt it); with must_exist the sink has
+    to be there already (created by its DDL)."""
+    from ordermill.sources.files import table_exists
+    if not table_exists(spark, path):
+        if must_exist:
+            raise ValueError(f"sink {path} does not exist")
+        return
+    have = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    wrong = [f.name for f in schema.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"sink {path} does not match the expected schema: {wrong}")
+
+
 def start(messages: DataFrame, good_path: str, bad_path: str, checkpoint: str,
-          window_s: int = 60, lateness_s: int = 300, trigger: dict | None = None):
+          window_s: int = 60, lateness_s: int = 300, trigger: dict | None = None,
+          sinks_must_exist: bool = False):
     """Start the stream.  ``trigger`` e.g. {"processingTime": "30 seconds"}
     (the early-firing cadence) or {"availableNow": True} for a catch-up run."""
+    from ordermill.schemas import ERRORS
     spark = messages.sparkSession
+    check_sink(spark, good_path, ORDERS_STREAM, sinks_must_exist)
+    check_sink(spark, bad_path, ERRORS, sinks_must_exist)
     # Dedup state lives in RocksDB (off-heap, spills to local disk, snapshots
     # to the checkpoint) unless the deployment chose a provider itself.
     key = "spark.sql.streaming.stateStore.providerClass"

@@ -115,3 +115,17 @@ def test_stream_equals_batch_on_the_events_stand_in(spark, tmp):
     stream_rows = win(spark.read.parquet(good_p)).collect()
     assert {(r.order_id, r.w) for r in stream_rows} == batch_keys
     assert len(stream_rows) == len(batch_keys)
+
+
+def test_stream_refuses_incompatible_sink(spark, tmp):
+    import pytest
+    good = os.path.join(tmp, "good")
+    spark.createDataFrame([("x", "y")], "order_id string, customer_id string").write.parquet(good)
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    stream = spark.readStream.schema("value string").text(src).withColumn("arrival_ts", F.current_timestamp())
+    with pytest.raises(ValueError, match="customer_id"):
+        start(stream, good, os.path.join(tmp, "bad"), os.path.join(tmp, "ck"))
+    with pytest.raises(ValueError, match="does not exist"):
+        start(stream, os.path.join(tmp, "g2"), os.path.join(tmp, "b2"), os.path.join(tmp, "ck2"),
+              sinks_must_exist=True)
