@@ -176,3 +176,35 @@ def test_multi_batch_stream_drops_nothing_by_watermark(spark, tmp):
     got = win(spark.read.parquet(good_p)).collect()
     assert {(r.order_id, r.w) for r in got} == want and len(got) == len(want)
     assert spark.read.parquet(bad_p).count() == V.error_rows(v, "stream").count()
+
+
+def test_restart_replays_a_batch_without_duplicates(spark, tmp):
+    from ordermill.operators.dedup import duplicate_keys
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        for i in range(20):
+            f.write(json.dumps({"value": _msg(f"R{i}", "2026-05-30T10:00:10.000Z"),
+                                "arrival": "2026-05-30 10:00:20"}) + "\n")
+
+    def run():
+        stream = (spark.readStream.schema("value string, arrival string").json(src)
+                  .withColumn("arrival_ts", F.to_timestamp("arrival")))
+        q = start(stream, good_p, bad_p, ck, trigger={"availableNow": True})
+        q.awaitTermination(120)
+        assert q.exception() is None
+        q.stop()
+        return sum(p["numInputRows"] for p in q.recentProgress)
+
+    good_p, bad_p, ck = (os.path.join(tmp, x) for x in ("good", "bad", "ck"))
+    run()
+    commits = os.path.join(ck, "commits")
+    last = max(int(c) for c in os.listdir(commits) if c.isdigit())
+    # crash after the write, before the commit: no commit file (nor its checksum)
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    assert run() == 20                              # the batch is replayed
+    good = spark.read.parquet(good_p)
+    assert good.count() == 20
+    assert duplicate_keys(good, ["order_id"]).count() == 0
