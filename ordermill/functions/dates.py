@@ -24,3 +24,12 @@ def calendar_parts(d: Column) -> dict:
 
 def display_date(d: Column) -> Column:
     return F.date_format(d, DISPLAY_FORMAT)
+
+
+def window_start(ts: Column, seconds: int) -> Column:
+    """Start of the epoch-aligned tumbling window of ``seconds`` holding ts
+    (the value of window(ts, ...).start).  Plain arithmetic: unlike window(),
+    it adds no not-null filter on ts, so rows without an event time stay."""
+    size = F.lit(seconds * 1_000_000)
+    us = F.unix_micros(ts)
+    return F.timestamp_micros(us - F.pmod(us, size))

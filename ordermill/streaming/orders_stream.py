@@ -11,9 +11,10 @@ Design (Spark-first):
     in the future cannot push the watermark ahead of on-time rows;
   * duplicates: dropDuplicatesWithinWatermark on (order_id, window start):
     one copy per key and window, state expires with the watermark;
-  * good and error rows leave as one union, split inside foreachBatch; each
-    batch overwrites its own batch_id= folder, so a replayed batch after a
-    restart rewrites instead of appending twice.
+  * one branch (the source is read and parsed once per micro-batch); good
+    and error rows are split inside foreachBatch; each batch overwrites its
+    own batch_id= folder, so a replayed batch after a restart rewrites
+    instead of appending twice.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.dates import window_start
 from ordermill.operators import validate as V
-from ordermill.schemas import ORDERS_STREAM
+from ordermill.schemas import ERRORS, ORDERS_STREAM
 from ordermill.sources.messages import decode_orders
 
 GOOD, BAD = "good", "bad"
@@ -32,25 +34,38 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300,
                   arrival: Column | None = None) -> DataFrame:
     """messages: ``value`` (JSON text) and ``arrival_ts``.  Returns rows of
-    (kind, good struct, error struct) ready for ``write_batch``."""
+    (kind, good struct, error struct) ready for ``write_batch``.
+
+    One branch: each message is decoded and validated once per micro-batch.
+    A single dropDuplicatesWithinWatermark keeps one good row per
+    (order_id, event-time window) and one error row per distinct message
+    (error_id; a redelivered bad message is the same error, as in the
+    insert-only error merge of the batch path).  Error rows carry their
+    arrival time as watermark time, so they are never behind the watermark
+    and their state expires after the delay.
+    """
     arrival = F.col("arrival_ts") if arrival is None else arrival
     decoded = decode_orders(messages.withColumn("arrival_ts", arrival))
     checked = V.validate_orders(decoded, "stream", raw=F.col("value"), arrival_ts=F.col("arrival_ts"),
                                 window_s=window_s, lateness_s=lateness_s)
-    good = V.good_rows(checked.withColumn("_ingested", F.col("arrival_ts")), "stream",
-                       F.col("_ingested"))
-    good = (good.withColumn("_wm", F.least("event_timestamp", "ingestion_timestamp"))
-            .withColumn("_window_start", F.window("event_timestamp", f"{window_s} seconds").start)
-            .withWatermark("_wm", f"{window_s + lateness_s} seconds")
-            .dropDuplicatesWithinWatermark(["order_id", "_window_start"]))
-    bad = V.error_rows(checked, "stream", F.col("arrival_ts"))
-    good_struct = F.struct(*[F.col(f.name) for f in ORDERS_STREAM.fields])
-    bad_struct = F.struct(*[F.col(c) for c in bad.columns])
-    no_good = F.lit(None).cast(ORDERS_STREAM)
-    no_bad = F.lit(None).cast(bad.schema)
-    return (good.select(F.lit(GOOD).alias("kind"), good_struct.alias("good"), no_bad.alias("bad"))
-            .unionByName(bad.select(F.lit(BAD).alias("kind"), no_good.alias("good"),
-                                    bad_struct.alias("bad"))))
+    ok = F.col("error_reason").isNull()
+    keyed = checked.withColumns({
+        "_wm": F.when(ok, F.least("event_timestamp", "arrival_ts")).otherwise(F.col("arrival_ts")),
+        "_window_start": F.when(ok, window_start(F.col("event_timestamp"), window_s)),
+        "_error_id": F.when(~ok, F.md5(F.col("raw_row"))),
+    })
+    kept = (keyed.withWatermark("_wm", f"{window_s + lateness_s} seconds")
+            .dropDuplicatesWithinWatermark(["order_id", "_window_start", "_error_id"]))
+    good_cols = {"source_system": F.lit("stream"), "ingestion_timestamp": F.col("arrival_ts")}
+    good_struct = F.struct(*[(good_cols.get(f.name, F.col(f.name))).cast(f.dataType).alias(f.name)
+                             for f in ORDERS_STREAM.fields])
+    bad_struct = F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(
+        [F.col("_error_id"), F.substring("raw_row", 1, V.STREAM_RAW_MAX),
+         F.substring("error_reason", 1, V.REASON_MAX), F.lit("stream"), F.col("arrival_ts")],
+        ERRORS.fields)])
+    return kept.select(F.when(ok, F.lit(GOOD)).otherwise(F.lit(BAD)).alias("kind"),
+                       F.when(ok, good_struct).alias("good"),
+                       F.when(~ok, bad_struct).alias("bad"))
 
 
 def write_batch(good_path: str, bad_path: str):
@@ -90,7 +105,6 @@ def start(messages: DataFrame, good_path: str, bad_path: str, checkpoint: str,
           sinks_must_exist: bool = False):
     """Start the stream.  ``trigger`` e.g. {"processingTime": "30 seconds"}
     (the early-firing cadence) or {"availableNow": True} for a catch-up run."""
-    from ordermill.schemas import ERRORS
     spark = messages.sparkSession
     check_sink(spark, good_path, ORDERS_STREAM, sinks_must_exist)
     check_sink(spark, bad_path, ERRORS, sinks_must_exist)

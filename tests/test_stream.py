@@ -198,12 +198,12 @@ def test_restart_replays_a_batch_without_duplicates(spark, tmp):
 
     good_p, bad_p, ck = (os.path.join(tmp, x) for x in ("good", "bad", "ck"))
     run()
-    commits = os.path.join(ck, "commits")
-    last = max(int(c) for c in os.listdir(commits) if c.isdigit())
-    # crash after the write, before the commit: no commit file (nor its checksum)
-    for name in (str(last), f".{last}.crc"):
-        if os.path.exists(os.path.join(commits, name)):
-            os.remove(os.path.join(commits, name))
+    # crash after writing batch 0, before its commit: batch 0 is planned
+    # (offsets/0) but not committed, and nothing was planned after it
+    for d, n in (("commits", "0"), ("commits", "1"), ("offsets", "1")):
+        for name in (n, f".{n}.crc"):
+            if os.path.exists(os.path.join(ck, d, name)):
+                os.remove(os.path.join(ck, d, name))
     assert run() == 20                              # the batch is replayed
     good = spark.read.parquet(good_p)
     assert good.count() == 20
