@@ -110,3 +110,13 @@ def test_reference_load_coerces_and_drops_missing_keys(spark, tmp):
     assert out == {"rows": 3, "kept": 2, "dropped_missing_key": 1, "table_rows": 2}
     p2 = spark.read.parquet(os.path.join(tmp, "raw", "products")).where("product_id = 2").first()
     assert p2.mrp is None and p2.stock_level is None and p2.category == "Bags"
+
+
+def test_reference_file_with_repeated_key_fails(spark, tmp):
+    import pytest
+    from ordermill.plans.batch_job import ingest_reference
+    csv = os.path.join(tmp, "campaigns.csv")
+    with open(csv, "w") as f:
+        f.write("campaign_id,campaign_name,expected_performance\n1,A,High\n1,B,Low\n")
+    with pytest.raises(ValueError, match="occurs more than once"):
+        ingest_reference(spark, "campaigns", csv, os.path.join(tmp, "raw"))

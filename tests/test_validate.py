@@ -144,3 +144,11 @@ def test_coerce_dimension(spark):
     spec = {"key": ["product_id"], "int_cols": ["product_id", "stock_level"], "float_cols": ["mrp"]}
     got = {r.product_id: (r.mrp, r.stock_level) for r in V.coerce_dimension(df, spec).collect()}
     assert got == {1: (10.5, 5), 2: (None, None), 3: (2.0, None)}
+
+
+def test_json_numbers_parse_as_their_text(spark):
+    ok = json.loads(_msg())
+    ok.update({"customer_id": 632, "unit_price": 10.5})
+    frac = dict(ok, customer_id=1.5)
+    got = stream_reasons(spark, [json.dumps(ok), json.dumps(frac)])
+    assert sorted(got, key=str) == sorted([None, "invalid integer for customer_id"], key=str)
