@@ -64,3 +64,37 @@ def test_row_policy_reaches_the_scan(spark, tmp):
     pol = RowPolicy("am", frozenset({"u"}), "warehouse_region = 'AMERICA'")
     p = plan(governed(spark.read.parquet(path), "u", [pol]))
     assert "PushedFilters: [EqualTo(warehouse_region,AMERICA)]" in p
+
+
+def test_incremental_mark_filters_before_the_dedup_shuffle(spark):
+    import datetime as dt
+
+    from ordermill.plans import marts
+
+    def stg(src):
+        return spark.range(2000).select(
+            (F.col("id") % 500).cast("string").alias("order_id"),
+            F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("loaded_at"),
+            F.lit(src).alias("source_system"), F.lit(1).cast("bigint").alias("customer_id"),
+            F.lit(1).cast("bigint").alias("product_id"), F.lit(1).cast("bigint").alias("region_id"),
+            F.lit(None).cast("bigint").alias("campaign_id"), F.lit(dt.date(2026, 1, 1)).alias("order_date"),
+            F.lit(1).cast("bigint").alias("quantity"), F.lit(1.0).alias("unit_price"),
+            F.lit(0.0).alias("discount"), F.lit(0.0).alias("shipping_cost"), F.lit("x").alias("payment_method"),
+            F.lit(1).cast("bigint").alias("delivery_days"), F.lit(0).cast("bigint").alias("returned_flag"),
+            F.lit("x").alias("order_status"), F.lit("x").alias("warehouse_region"),
+            F.lit(1).cast("bigint").alias("customer_rating"), F.lit("x").alias("customer_city"),
+            F.lit("x").alias("customer_state"))
+
+    b, s = stg("batch"), stg("stream")
+    first = marts.fact_orders(marts.int_orders_unioned(b.where("loaded_at < timestamp_seconds(1700001000)"),
+                                                       s.where("loaded_at < timestamp_seconds(1700001000)")))
+    inc = marts.incremental_fact(b, s, first)
+    lines = inc._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    # the mark (a scalar subquery) filters the sources below the dedup window
+    marks = [i for i, ln in enumerate(lines) if "Filter" in ln and "scalar-subquery" in ln]
+    assert marks
+    m = marks[0]
+    assert any("Window" in lines[i] and depth(lines[i]) < depth(lines[m]) for i in range(m))
+    full = marts.fact_orders(marts.int_orders_unioned(b, s))
+    assert sorted(inc.collect()) == sorted(full.collect())
