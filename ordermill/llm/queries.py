@@ -35,12 +35,12 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op4_shards": """
-WITH steps AS (SELECT list_transform(range(256), i -> list_reduce(range(8),
-        (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+WITH steps AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
 d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 c AS (SELECT doc_id, length(h) // 2 + 1 AS size,
-        xor(list_reduce(list_transform(regexp_extract_all(h, '..'), x -> ('0x' || x)::BIGINT),
-            (a, b) -> xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+        xor(list_reduce(list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT),
+            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
       FROM d, steps),
 p AS (SELECT *, sum(size) OVER (ORDER BY doc_id) AS upto, sum(size) OVER () AS total FROM c),
 s AS (SELECT *, least(7, (8 * (2 * upto - size)) // (2 * total)) AS shard FROM p)
