@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import sharding, simhash_dedup, suffix_dedup
+from ordermill.llm import maxscore, minhash, pii, sharding, simhash_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,13 +23,31 @@ def op5_repeats(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash(spark, sf_dir):
+    return minhash.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op8_maxscore(spark, sf_dir):
+    vectors = maxscore.quantized(table(spark, sf_dir, "embeddings"))
+    return maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+def op9_pii(spark, sf_dir):
+    return pii.detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op10_simhash(spark, sf_dir):
     return simhash_dedup.near_copies(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_minhash": op2_minhash,
     "op4_shards": op4_shards,
     "op5_repeats": op5_repeats,
+    "op8_maxscore": op8_maxscore,
+    "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
 }
 
@@ -65,4 +83,11 @@ r AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (fresh
 SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
     coalesce(kept_sha256, sha256(''::BLOB)) AS kept_sha256
 FROM d LEFT JOIN r USING (doc_id)""",
+    "op8_maxscore": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20""",
 }
