@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from ordermill.session import checkpoint_dir
 
 
-def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id (long) and the text (null: empty) under fixed names, so
-    extra columns of any name never clash with an operator's own."""
+def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", extra: dict | None = None) -> DataFrame:
+    """Only the id (long) and the text (null: empty) under fixed names, and
+    ``extra`` columns (new name: column), so columns of any name never clash
+    with an operator's own."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"),
-                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                     F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                     *[F.col(c).alias(new) for new, c in (extra or {}).items()])
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -6,13 +6,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import maxscore, minhash, pii, sharding, simhash_dedup, suffix_dedup
+from ordermill.llm import (html_main, maxscore, minhash, packing, pii, piece_scan, quality, sharding,
+                           simhash_dedup, suffix_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_html(spark, sf_dir):
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
+def op3_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(packing.TOKENIZER))
+
+
 def op4_shards(spark, sf_dir):
     return sharding.balanced_shards(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -23,6 +37,14 @@ def op5_repeats(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark, sf_dir):
+    return piece_scan.encode(table(spark, sf_dir, "documents"), tokenizer_file(piece_scan.MODEL)).drop("ids")
+
+
+def op7_quality(spark, sf_dir):
+    return quality.rate(table(spark, sf_dir, "documents"), quality.grades(table(spark, sf_dir, "labels")))
+
+
 def op2_minhash(spark, sf_dir):
     return minhash.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -42,14 +64,9 @@ def op10_simhash(spark, sf_dir):
     return simhash_dedup.near_copies(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op2_minhash": op2_minhash,
-    "op4_shards": op4_shards,
-    "op5_repeats": op5_repeats,
-    "op8_maxscore": op8_maxscore,
-    "op9_pii": op9_pii,
-    "op10_simhash": op10_simhash,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_html, op2_minhash, op3_packing, op4_shards, op5_repeats, op6_pieces, op7_quality, op8_maxscore, op9_pii,
+    op10_simhash)}
 
 ORACLE_SQL = {
     "op4_shards": """

@@ -54,8 +54,9 @@ class Block:
         ids = table.column("doc_id").fill_null(LAST_ID).to_numpy()
         self.null_id = np.asarray(table.column("doc_id").is_null())
         order = np.argsort(ids, kind="stable")
+        self.order = pa.array(order)
         self.ids, self.null_id = ids[order], self.null_id[order]
-        self.data, self.start, self.end = binary_column(table.column("data").take(pa.array(order)))
+        self.data, self.start, self.end = binary_column(table.column("data").take(self.order))
 
     def runs(self, contexts=False):
         """(first window, last window, anchor code, document row[, context code]) of each run."""
@@ -265,7 +266,7 @@ def _scan(key, table):
                      "masks": pa.array([mask[out[a:b]].tobytes() for a, b in zip(at, ends)], pa.binary())})
 
 
-def _cut(with_kept):
+def _cut(with_kept, extra):
     def run(key, docs, answers):
         block = Block(docs)
         n = len(block.data)
@@ -300,23 +301,25 @@ def _cut(with_kept):
                "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string())}
         if with_kept:
             out["kept"] = pa.array(pieces, pa.binary())
+        out.update((c, docs.column(c).take(block.order)) for c in extra)
         return pa.table(out)
     return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   with_kept: bool = False) -> DataFrame:
+                   with_kept: bool = False, extra: tuple = ()) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256
-    (and ``kept``, the bytes left, on request).
+    (and ``kept``, the bytes left, on request), and the ``extra`` columns.
 
     Null text counts as empty; a null id as larger than every id.  Rows with
     the same id never remove each other's bytes.  An empty table gives an
     empty result."""
-    d = id_text(docs, id_col, text_col)
+    carried = [f"x_{i}" for i in range(len(extra))]
+    d = id_text(docs, id_col, text_col, dict(zip(carried, extra)))
     size = total_bytes(d)
     blocks, shards = size // BLOCK_BYTES + 1, size // SHARD_BYTES + 1
     d = d.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int").alias("block"),
-                 "doc_id", F.encode("text", "UTF-8").alias("data"))
+                 "doc_id", F.encode("text", "UTF-8").alias("data"), *carried)
     by_block = d.groupBy("block")
     anchors = by_block.applyInArrow(_anchors(shards), "shard int, block int, codes binary")
     shared = anchors.groupBy("shard").applyInArrow(_shared, "block int, shard int, hits binary")
@@ -324,6 +327,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _contexts(shards),
         "shard int, block int, ids binary, windows binary, rows binary, bytes binary")
     answers = sent.groupBy("shard").applyInArrow(_scan, "block int, rows binary, masks binary")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        _cut(with_kept), schema + (", kept binary" if with_kept else ""))
+    schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+              + ", kept binary" * with_kept + "".join(f", {c} {t}" for c, t in d.select(*carried).dtypes))
+    out = by_block.cogroup(answers.groupBy("block")).applyInArrow(_cut(with_kept, carried), schema)
+    return out.withColumnsRenamed(dict(zip(carried, extra)))
