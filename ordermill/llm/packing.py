@@ -13,7 +13,9 @@ next window, so only the last window of a shard is padded.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,19 @@ WINDOW, END_ID = 4096, 2
 SHARD_BYTES = 4 << 20           # text bytes per shard
 QUERY_TERMS = 16                # rarest distinct terms of a seed that ask the index
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_CHARS = 400_000, 40
+CACHE_WORDS, CACHE_CHARS = 800_000, 32
 TOKENIZER = "word_bpe_49k.json"
 
 
+# Cuts no pre-token of the tokenizer reaches over: at ASCII blanks and line ends, and between a
+# letter or digit and the run of ASCII marks that ends a word.  Letters are lower-cased anyway.
+MARKS = re.compile(r"(?<=[^\W_])([!-/:-@\[-^`{-~]+)(?= |$)")
+
+
 class Words(dict):
-    """ids of a word as little-endian 16-bit bytes."""
+    """ids of a word as 16-bit bytes; lives as long as its Python worker."""
+
+    loaded: dict = {}
 
     def __init__(self, path):
         super().__init__({"": b""})
@@ -40,14 +49,25 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         assert self.tokenizer.get_vocab_size() <= 1 << 16
 
+    @classmethod
+    def of(cls, path):
+        if path not in cls.loaded:
+            cls.loaded[path] = cls(path)
+        return cls.loaded[path]
+
+    @staticmethod
+    def split(text):
+        text = text.encode().lower().decode()           # ASCII letters only
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        return MARKS.sub(r" \1", text).split(" ")
+
     def ids(self, texts):
-        """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,
-        over which no pre-token of the tokenizer reaches."""
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        """16-bit ids (bytes) of each text."""
+        words = [self.split(t) for t in texts]
         new = list(set().union(*words).difference(self))
         now = self
         if new:
-            codes = [np.array(e.ids, "<u2").tobytes()
+            codes = [array("H", e.ids).tobytes()
                      for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             fresh = dict(zip(new, codes))
             room = CACHE_WORDS - len(self)
@@ -78,7 +98,7 @@ def _tokenize(path, shards, end_id, window, keep_ids):
 
     def run(batches):
         import xxhash
-        words = Words(path)
+        words = Words.of(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

@@ -40,7 +40,16 @@ SPACE = "▁"            # how the vocabulary writes a blank
 
 
 class Vocabulary:
-    """Pieces (blanks as blanks), weights, byte ids; remembers segmented text."""
+    """Pieces (blanks as blanks), weights, byte ids; remembers segmented text
+    as long as its Python worker lives."""
+
+    loaded: dict = {}
+
+    @classmethod
+    def of(cls, path):
+        if path not in cls.loaded:
+            cls.loaded[path] = cls(path)
+        return cls.loaded[path]
 
     def __init__(self, path):
         import sentencepiece
@@ -209,7 +218,7 @@ def _batch(rows):
 
 def _whole(path):
     def run(batches):
-        vocab = Vocabulary(path)
+        vocab = Vocabulary.of(path)
         for b in batches:
             rows = []
             for doc, key, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
@@ -240,7 +249,7 @@ def _cut(chunk, over):
 
 def _matrices(path):
     def run(batches):
-        vocab = Vocabulary(path)
+        vocab = Vocabulary.of(path)
         for b in batches:
             m = [vocab.matrix(t, n).tobytes() for t, n in zip(b.column("text").to_pylist(), b.column("size").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "key", "chunk")] + [pa.array(m, pa.binary())],
@@ -263,7 +272,7 @@ def _states(table):
 
 def _traced(path):
     def run(batches):
-        vocab = Vocabulary(path)
+        vocab = Vocabulary.of(path)
         for b in batches:
             yield _batch([_row(vocab, d, k, c, t, n, vocab.between(t, n, e, f), e, f) for d, k, c, t, n, e, f in zip(
                 *(b.column(x).to_pylist() for x in ("doc_id", "key", "chunk", "text", "size", "enter", "leave")))])
@@ -298,7 +307,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id, key, chunk, text of rows as ``encode`` returns them; the chunks'
     texts in order are the document's text."""
     def run(batches):
-        vocab = Vocabulary(model_path)
+        vocab = Vocabulary.of(model_path)
         for b in batches:
             texts = [vocab.decode(i)[c == 0:] for i, c in zip(b.column("ids").to_pylist(), b.column("chunk").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "key", "chunk")]
