@@ -13,7 +13,6 @@ next window, so only the last window of a shard is padded.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 
@@ -32,9 +31,9 @@ CACHE_WORDS, CACHE_CHARS = 800_000, 32
 TOKENIZER = "word_bpe_49k.json"
 
 
-# Cuts no pre-token of the tokenizer reaches over: at ASCII blanks and line ends, and between a
-# letter or digit and the run of ASCII marks that ends a word.  Letters are lower-cased anyway.
-MARKS = re.compile(r"(?<=[^\W_])([!-/:-@\[-^`{-~]+)(?= |$)")
+# A word may also be cut between a letter or digit and the run of ASCII marks that ends it:
+# no pre-token of the tokenizer reaches over that place.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
 class Words(dict):
@@ -47,6 +46,7 @@ class Words(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         assert self.tokenizer.get_vocab_size() <= 1 << 16
 
     @classmethod
@@ -56,24 +56,30 @@ class Words(dict):
         return cls.loaded[path]
 
     @staticmethod
-    def split(text):
-        text = text.encode().lower().decode()           # ASCII letters only
-        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        return MARKS.sub(r" \1", text).split(" ")
+    def core(word):
+        """(word without the marks that end it, those marks); letters are lower-cased anyway."""
+        if word.isascii():
+            word = word.lower()
+        core = word.rstrip(MARKS)
+        return (core, word[len(core):]) if core and core[-1].isalnum() else (word, "")
 
     def ids(self, texts):
-        """16-bit ids (bytes) of each text."""
-        words = [self.split(t) for t in texts]
-        new = list(set().union(*words).difference(self))
+        """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,
+        over which no pre-token reaches."""
+        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        new = set().union(*words).difference(self)
         now = self
         if new:
-            codes = [array("H", e.ids).tobytes()
-                     for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            fresh = dict(zip(new, codes))
+            parts = {w: self.core(w) for w in new}
+            cores = list({c for p in parts.values() for c in p}.difference(self))
+            fresh = {c: array("H", e.ids).tobytes() for c, e in zip(
+                cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))}
+            now = _Either(self, fresh)
+            fresh.update({w: now[c] + now[m] for w, (c, m) in parts.items()})
+            now = _Either(self, fresh)
             room = CACHE_WORDS - len(self)
             if room > 0:
                 self.update([(w, c) for w, c in fresh.items() if len(w) <= CACHE_CHARS][:room])
-            now = _Either(self, fresh)
         return [b"".join(map(now.__getitem__, w)) for w in words]
 
 
