@@ -36,13 +36,13 @@ TOKENIZER = "word_bpe_49k.json"
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
-class Words(dict):
-    """ids of a word as 16-bit bytes; lives as long as its Python worker."""
+class Words:
+    """ids of words as 16-bit bytes; lives as long as its Python worker."""
 
     loaded: dict = {}
 
     def __init__(self, path):
-        super().__init__({"": b""})
+        self.known = {"": b""}          # an exact dict: set differences against it stay cheap
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,29 +67,22 @@ class Words(dict):
         """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,
         over which no pre-token reaches."""
         words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*words).difference(self)
-        now = self
-        if new:
-            parts = {w: self.core(w) for w in new}
-            cores = list({c for p in parts.values() for c in p}.difference(self))
-            fresh = {c: array("H", e.ids).tobytes() for c, e in zip(
-                cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))}
-            now = _Either(self, fresh)
-            fresh.update({w: now[c] + now[m] for w, (c, m) in parts.items()})
-            now = _Either(self, fresh)
-            room = CACHE_WORDS - len(self)
-            if room > 0:
-                self.update([(w, c) for w, c in fresh.items() if len(w) <= CACHE_CHARS][:room])
-        return [b"".join(map(now.__getitem__, w)) for w in words]
-
-
-class _Either(dict):
-    def __init__(self, old, fresh):
-        super().__init__(fresh)
-        self.old = old
-
-    def __missing__(self, word):
-        return self.old[word]
+        known = self.known
+        new = set().union(*words).difference(known)
+        if not new:
+            return [b"".join(map(known.__getitem__, w)) for w in words]
+        parts = {w: self.core(w) for w in new}
+        cores = list({c for p in parts.values() for c in p}.difference(known))
+        fresh = {c: array("H", e.ids).tobytes() for c, e in zip(
+            cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))}
+        known.update(fresh)
+        known.update([(w, known[c] + known[m]) for w, (c, m) in parts.items()])
+        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        full = len(known) > CACHE_WORDS
+        for w in new.union(cores):
+            if full or len(w) > CACHE_CHARS:
+                del known[w]
+        return out
 
 
 def _crc(ids: bytes) -> int:
