@@ -27,7 +27,7 @@ WINDOW, END_ID = 4096, 2
 SHARD_BYTES = 4 << 20           # text bytes per shard
 QUERY_TERMS = 16                # rarest distinct terms of a seed that ask the index
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_CHARS = 800_000, 32
+CACHE_WORDS, CACHE_CHARS = 1_200_000, 32
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -66,23 +66,26 @@ class Words:
     def ids(self, texts):
         """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,
         over which no pre-token reaches."""
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        new = set().union(*words).difference(known)
-        if not new:
-            return [b"".join(map(known.__getitem__, w)) for w in words]
-        parts = {w: self.core(w) for w in new}
-        cores = list({c for p in parts.values() for c in p}.difference(known))
-        fresh = {c: array("H", e.ids).tobytes() for c, e in zip(
-            cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))}
-        known.update(fresh)
-        known.update([(w, known[c] + known[m]) for w, (c, m) in parts.items()])
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
-        full = len(known) > CACHE_WORDS
-        for w in new.union(cores):
-            if full or len(w) > CACHE_CHARS:
-                del known[w]
-        return out
+        known, words, ends = self.known, [], []
+        for t in texts:
+            words += t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            ends.append(len(words))
+        codes = list(map(known.get, words))
+        if None in codes:
+            missing = [i for i, c in enumerate(codes) if c is None]
+            new = {words[i] for i in missing}
+            parts = {w: self.core(w) for w in new}
+            cores = list({c for p in parts.values() for c in p}.difference(known))
+            known.update([(c, array("H", e.ids).tobytes()) for c, e in zip(
+                cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))])
+            known.update([(w, known[c] + known[m]) for w, (c, m) in parts.items()])
+            for i in missing:
+                codes[i] = known[words[i]]
+            full = len(known) > CACHE_WORDS
+            for w in new.union(cores):
+                if full or len(w) > CACHE_CHARS:
+                    del known[w]
+        return [b"".join(codes[a:b]) for a, b in zip([0, *ends], ends)]
 
 
 def _crc(ids: bytes) -> int:
