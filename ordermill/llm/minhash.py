@@ -55,7 +55,7 @@ def _shingles(texts, codes):
     start = np.cumsum(size) - size
     doc = np.repeat(np.arange(len(size)), size)
     h = np.zeros(len(flat), U64)
-    for i in range(WORDS):
+    for i in range(min(WORDS, len(flat))):
         h[: len(flat) - i] = h[: len(flat) - i] * POWERS[1] + flat[i:]
     whole = np.arange(len(flat)) - start[doc] <= size[doc] - WORDS
     short = np.flatnonzero((size > 0) & (size < WORDS))      # one shingle of all the words
