@@ -20,10 +20,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import id_text
+from ordermill.llm.common import id_text, staged
 
 BUCKETS = 1 << 18
 FIT_DOCS = 12_000
@@ -106,27 +106,27 @@ class Model:
         return float(sum(above)), float(above[-1])
 
 
-def train(grades: np.ndarray, docs: list[np.ndarray]) -> Model:
-    """Cumulative-link fit by Adam on the selected features."""
-    kinds = np.unique(grades)
-    if len(kinds) < 2:
-        return Model({}, [])                    # nothing to tell apart: everything is kept
-    y = np.searchsorted(kinds, grades)
-    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    col = np.concatenate(docs)
-    df = np.bincount(col, minlength=BUCKETS)
+def choose(buckets: np.ndarray, grades: np.ndarray, docs: np.ndarray, of_grade: np.ndarray) -> np.ndarray:
+    """Buckets that tell grades apart, from ``docs``: how many documents of a
+    grade have a bucket; ``of_grade``: documents of each grade (0 .. n - 1)."""
+    levels, n = len(of_grade), of_grade.sum()
+    seen = np.zeros((levels, BUCKETS))
+    np.add.at(seen, (grades, buckets), docs)
+    df = seen.sum(axis=0)
+    share = of_grade / n
     ratio = np.zeros(BUCKETS)                   # likelihood ratio of "grades depend on the feature"
-    lift = np.zeros(BUCKETS)
-    for k in range(len(kinds)):
-        seen = np.bincount(col[y[row] == k], minlength=BUCKETS)
-        lift = np.maximum(lift, seen / np.maximum(df, 1) / (y == k).mean())
-        for count, size in ((seen, df), ((y == k).sum() - seen, len(y) - df)):
-            ratio += 2 * count * np.log(np.maximum(count, 1) / np.maximum(size * (y == k).mean(), 1e-9))
-    chosen = np.flatnonzero((df >= LEAST_DOCS) & (df < len(docs)) & (ratio >= LEAST_G) & (lift >= LEAST_LIFT))
-    place = np.full(BUCKETS, -1)
-    place[chosen] = np.arange(len(chosen))
-    ok = place[col] >= 0
-    row, col = row[ok], place[col[ok]]
+    for k in range(levels):
+        for count, size in ((seen[k], df), (of_grade[k] - seen[k], n - df)):
+            ratio += 2 * count * np.log(np.maximum(count, 1) / np.maximum(size * share[k], 1e-9))
+    lift = (seen / np.maximum(df, 1) / share[:, None]).max(axis=0)
+    return np.flatnonzero((df >= LEAST_DOCS) & (df < n) & (ratio >= LEAST_G) & (lift >= LEAST_LIFT))
+
+
+def train(y: np.ndarray, docs: list[np.ndarray], chosen: np.ndarray) -> Model:
+    """Cumulative-link fit by Adam; ``y`` 0 .. n - 1, documents as rows of chosen buckets."""
+    kinds = np.unique(y)
+    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    col = np.searchsorted(chosen, np.concatenate(docs))
     levels = len(kinds) - 1
     below = np.array([(y <= k).mean() for k in range(levels)])
     cut = np.log(below / (1 - below))
@@ -174,10 +174,30 @@ def passage(text: str) -> str:
 def _sample(batches):
     names = Features()
     for b in batches:
-        texts = b.column("text").to_pylist()
-        found = [np.array(sorted(names.of(t)), "<i4").tobytes() for t in texts]
-        yield pa.record_batch([b.column("grade"), pa.array(map(passage, texts), pa.string()), pa.array(found, pa.binary())],
-                              names=["grade", "passage", "buckets"])
+        for lo in range(0, b.num_rows, 256):
+            part = b.slice(lo, 256)
+            texts = part.column("text").to_pylist()
+            found = [np.array(sorted(names.of(t)), "<i4").tobytes() for t in texts]
+            yield pa.record_batch([part.column("grade"), pa.array(map(passage, texts), pa.string()),
+                                   pa.array(found, pa.binary())], names=["grade", "passage", "buckets"])
+
+
+def _counts(batches):
+    for b in batches:
+        flat = [np.frombuffer(x, "<i4") for x in b.column("buckets").to_pylist()]
+        grade = np.repeat(b.column("grade").to_numpy(), [len(x) for x in flat]).astype(np.int64)
+        key, n = np.unique(grade * BUCKETS + np.concatenate(flat), return_counts=True) if flat else (np.zeros(0, int),) * 2
+        yield pa.record_batch([pa.array(key // BUCKETS, pa.int32()), pa.array(key % BUCKETS, pa.int32()),
+                               pa.array(n, pa.int64())], names=["grade", "bucket", "n"])
+
+
+def _only(chosen):
+    def run(batches):
+        for b in batches:
+            rows = [np.intersect1d(np.frombuffer(x, "<i4"), chosen).astype("<i4").tobytes()
+                    for x in b.column("buckets").to_pylist()]
+            yield pa.record_batch([b.column("grade"), pa.array(rows, pa.binary())], names=["grade", "buckets"])
+    return run
 
 
 def fit(docs: DataFrame, ratings: DataFrame, id_col="doc_id", text_col="text", fit_docs: int = FIT_DOCS) -> Model:
@@ -189,13 +209,23 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col="doc_id", text_col="text", f
     d = id_text(docs, id_col, text_col)
     # the sample has about ``fit_docs`` rows of two numbers
     sample = (d.join(F.broadcast(r), d.doc_id == r.rated).select("grade", "text")
-              .mapInArrow(_sample, "grade int, passage string, buckets binary").collect())
+              .mapInArrow(_sample, "grade int, passage string, buckets binary"))
     # copies are no independent evidence: of equal passages one document counts, of the lowest grade
-    one = {}
-    for x in sorted(sample, key=lambda x: (x["grade"], bytes(x["buckets"]))):
-        one.setdefault(x["passage"], x)
-    return train(np.array([x["grade"] for x in one.values()], np.int64),
-                 [np.frombuffer(x["buckets"], "<i4").astype(np.int64) for x in one.values()])
+    first = F.row_number().over(Window.partitionBy("passage").orderBy("grade", "buckets"))
+    sample = staged(sample.withColumn("_n", first).where("_n = 1").select("grade", "buckets"), "ratings")
+    # counts per bucket and grade, then the few chosen buckets of each document
+    counts = sample.mapInArrow(_counts, "grade int, bucket int, n long").groupBy("grade", "bucket").agg(F.sum("n").alias("n"))
+    counts = counts.toArrow()
+    totals = sorted((g["grade"], g["n"]) for g in sample.groupBy("grade").agg(F.count("*").alias("n")).collect())
+    kinds = np.array([g for g, _ in totals])
+    if len(kinds) < 2:
+        return Model({}, [])                    # nothing to tell apart: everything is kept
+    chosen = choose(counts.column("bucket").to_numpy(), np.searchsorted(kinds, counts.column("grade").to_numpy()),
+                    counts.column("n").to_numpy(), np.array([n for _, n in totals]))
+    rows = sample.mapInArrow(_only(chosen), "grade int, buckets binary").toArrow().sort_by(
+        [("grade", "ascending"), ("buckets", "ascending")])
+    return train(np.searchsorted(kinds, rows.column("grade").to_numpy()),
+                 [np.frombuffer(x, "<i4") for x in rows.column("buckets").to_pylist()], chosen)
 
 
 def _score(model, names):
