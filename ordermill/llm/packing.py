@@ -27,7 +27,7 @@ WINDOW, END_ID = 4096, 2
 SHARD_BYTES = 4 << 20           # text bytes per shard
 QUERY_TERMS = 16                # rarest distinct terms of a seed that ask the index
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_CHARS = 1_200_000, 32
+CACHE_WORDS, CACHE_CHARS = 900_000, 32
 TOKENIZER = "word_bpe_49k.json"
 
 

@@ -32,7 +32,7 @@ MODEL = "piece_bpe_32k.model"
 SHIFT = 24                  # bits below a score for the tie-breaking part
 NONE, ONLY = -(1 << 62), 1
 LEAST_SCORE = -(1 << 17)    # scores below it ("never") count as it, so sums of a chunk fit 62 bits
-CACHE, CACHE_CHARS = 600_000, 32
+CACHE, CACHE_CHARS = 450_000, 32
 # A piece may begin with blanks but has none after another character, and no line end (checked on load).
 SEGMENT = re.compile(r" *[^ \n]+|\n| +")
 BORDER, NEAR = re.compile(r"[^ ](?= )"), 1024

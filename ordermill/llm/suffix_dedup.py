@@ -41,7 +41,7 @@ SPAN = MATCH - GRAM + 1         # grams inside one window (at most 32: a run is
 BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 12 << 20          # corpus bytes per key shard
 BATCH_WINDOWS = 1 << 18
-SLICE = 1 << 21
+SLICE = 1 << 20
 MULT_A, MULT_B, MULT_G = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD
 LAST_ID = np.iinfo(np.int64).max
 U64 = np.uint64
