@@ -155,13 +155,15 @@ def train(y: np.ndarray, docs: list[np.ndarray], chosen: np.ndarray) -> Model:
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta = theta - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     cut = np.cumsum(np.r_[theta[0], np.exp(theta[1:levels])])
-    # selection: KEEP_SHARE of the top-graded documents of the sample pass, within a range
+    # selection: KEEP_SHARE of the top-graded documents of the sample pass, within a range (whose
+    # low end gives way where weak features leave the typical top-graded document below it)
     eta = np.bincount(row, weights=theta[levels:][col], minlength=len(y))
     tail = 1 / (1 + np.exp(np.clip(cut[-1] - eta[y == levels], -60, 60)))
-    keep_tail = float(np.clip(np.quantile(tail, 1 - KEEP_SHARE), *TAIL_RANGE))
+    low, high = min(TAIL_RANGE[0], float(np.median(tail))), TAIL_RANGE[1]
+    keep_tail = float(np.clip(np.quantile(tail, 1 - KEEP_SHARE), low, high))
     return Model({int(b): round(float(x), 6) for b, x in zip(chosen, theta[levels:])},
                  [round(float(c), 6) for c in cut],
-                 max(TAIL_RANGE[0], round(keep_tail - 0.002, 4)))      # equal documents share a tail: stay below it
+                 round(keep_tail - 0.002, 4))      # equal documents share a tail: stay below it
 
 
 def passage(text: str) -> str:
