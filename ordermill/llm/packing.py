@@ -3,7 +3,8 @@
 Documents are tokenized word by word (a bounded memory of words already
 seen; a word's ids never depend on its neighbours).  A document longer than a
 window gives its full windows at once; what is left of it, and every shorter
-document, goes to a shard, chosen by hash and sized in bytes.  Each shard
+document, goes to a shard, chosen by hash and sized by its number of
+documents.  Each shard
 builds an inverted index of its remainders and fills windows greedily: the
 seed asks the index for unused neighbours by BM25 and takes them in order of
 score until the window is full; the last one is cut and its rest seeds the
@@ -21,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import id_text, total_bytes
+from ordermill.llm.common import id_text
 
 WINDOW, END_ID = 4096, 2
-SHARD_BYTES = 4 << 20           # text bytes per shard
+SHARD_DOCS = 1200               # documents per shard; none sends it more than a window of ids
 QUERY_TERMS = 16                # rarest distinct terms of a seed that ask the index
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 900_000, 32
@@ -76,15 +77,15 @@ class Words:
             new = {words[i] for i in missing}
             parts = {w: self.core(w) for w in new}
             cores = list({c for p in parts.values() for c in p}.difference(known))
-            known.update([(c, array("H", e.ids).tobytes()) for c, e in zip(
-                cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))])
-            known.update([(w, known[c] + known[m]) for w, (c, m) in parts.items()])
+            fresh = {c: array("H", e.ids).tobytes() for c, e in zip(
+                cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))}
+            whole = {w: (fresh[c] if c in fresh else known[c]) + (fresh[m] if m in fresh else known[m])
+                     for w, (c, m) in parts.items()}
             for i in missing:
-                codes[i] = known[words[i]]
-            full = len(known) > CACHE_WORDS
-            for w in new.union(cores):
-                if full or len(w) > CACHE_CHARS:
-                    del known[w]
+                codes[i] = whole[words[i]]
+            if len(known) < CACHE_WORDS:
+                fresh.update(whole)
+                known.update([(w, c) for w, c in fresh.items() if len(w) <= CACHE_CHARS])
         return [b"".join(codes[a:b]) for a, b in zip([0, *ends], ends)]
 
 
@@ -232,7 +233,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text",
     Null and empty texts are one end id.  Repeated rows are packed once each;
     a null id stays null.  An empty table gives an empty result."""
     d = id_text(docs, id_col, text_col)
-    shards = total_bytes(d) // SHARD_BYTES + 1
+    shards = d.count() // SHARD_DOCS + 1
     pieces = d.mapInArrow(_tokenize(tokenizer_path, shards, end_id, window, keep_ids), PIECE)
     return pieces.groupBy("shard").applyInArrow(
         _pack(window, keep_ids), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
