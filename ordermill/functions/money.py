@@ -1,9 +1,9 @@
-"""Exact money and ratio arithmetic.
+"""Money and ratio arithmetic.
 
-Money is stored as double (as in the raw tables) but computed in DECIMAL so
-that rounding is exact half-up (away from zero) and independent of summation
-order: per-row amounts are whole cents, sums are sums of cents, averages and
-ratios are rounded by integer half-up division of exact sums.
+Money is stored as double, as in the raw tables.  A row's revenue is the
+double formula, rounded half away from zero by fixed IEEE steps.  Sums do not
+depend on summation order: they are DECIMAL sums of cents; averages and
+ratios are rounded once, by integer half-up division of such sums.
 """
 
 from pyspark.sql import Column
@@ -15,16 +15,13 @@ def _col(c):
 
 
 def revenue(quantity="quantity", unit_price="unit_price", discount="discount") -> Column:
-    """round(quantity * unit_price * (1 - discount / 100), 2), exact.
+    """round(quantity * unit_price * (1 - discount / 100), 2).
 
-    Computed as round(quantity * (100 - discount) * unit_price, 0) / 100 with
-    quantity < 1e12, discount of at most 4 decimals and unit_price < 1e10 with
-    at most 6 decimals: the product fits DECIMAL(38,10) without scale loss.
-    """
-    q = _col(quantity).cast("decimal(12,0)")
-    d = F.lit(100).cast("decimal(3,0)") - _col(discount).cast("decimal(7,4)")
-    p = _col(unit_price).cast("decimal(16,6)")
-    return F.round(q * d * p, 0).cast("double") / 100
+    sign * floor(|x| * 100 + 0.5) / 100 in doubles; from 1e13 on (where a
+    double holds no more than cents anyway), NaN and infinity stay as they are."""
+    x = _col(quantity).cast("double") * _col(unit_price) * (F.lit(1.0) - _col(discount) / F.lit(100.0))
+    cents = F.floor(F.abs(x) * 100 + 0.5).cast("double")
+    return F.when(F.abs(x) < 1e13, F.signum(x) * cents / 100).otherwise(x)
 
 
 def units(c, scale: int) -> Column:
@@ -39,9 +36,10 @@ def sum_units(c, scale: int) -> Column:
 
 
 def avg_round(c, digits: int) -> Column:
-    """round(avg(c), digits), exact for values with at most `digits` decimals."""
-    s = F.sum(units(c, digits))
-    n = F.count(_col(c)).cast("decimal(20,0)")
+    """round(avg(c), digits): values summed with six digits more than the
+    result has, rounded once."""
+    s = F.sum(units(c, digits + 6))
+    n = F.count(_col(c)).cast("decimal(20,0)") * F.lit(10 ** 6).cast("decimal(7,0)")
     return (_round_div(s, n) / (10 ** digits)).cast("double")
 
 

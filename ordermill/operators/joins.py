@@ -1,34 +1,15 @@
-"""Star joins with a proven broadcast bound.
+"""Star joins.
 
-A dimension is broadcast only after a runtime check shows it holds at most
-``max_rows`` rows: ``limit(max_rows + 1).count()`` stops reading as soon as
-the bound is passed, so the check costs at most max_rows + 1 rows of one
-scan.  Beyond the bound the join stays a shuffle join (and AQE may still
-switch it on measured sizes).  Broadcasting also keeps low-cardinality or
-null-heavy keys (campaigns, organic orders) from piling into a few shuffle
-partitions.
+The join strategy is left to the optimizer: adaptive execution turns a
+shuffle join into a broadcast join when the measured size of the dimension
+allows it, and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Row bound for broadcasting a dimension (~tens of MB for the
-# narrow key + attribute projections joined here).
-DIM_BROADCAST_MAX_ROWS = 200_000
 
-
-def fits(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if df proves to have at most max_rows rows, else df."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def star_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-              max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """fact JOIN dim USING (key), the dimension broadcast when bounded."""
-    return fact.join(bounded_broadcast(dim, max_rows), key, how)
+def star_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """fact JOIN dim USING (key)."""
+    return fact.join(dim, key, how)

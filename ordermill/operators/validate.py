@@ -154,8 +154,9 @@ def coerce_dimension(df: DataFrame, spec: dict) -> DataFrame:
     error rows), then rows without a key are dropped."""
     casts = {}
     for c in spec.get("int_cols", []):
+        # integer text stays integer (a double keeps only 53 bits); "3.0" counts as 3
         d = parse.strict_double(c)
-        casts[c] = F.when(d == F.floor(d), d.try_cast("bigint"))
+        casts[c] = F.coalesce(parse.strict_long(c), F.when(d == F.floor(d), d.try_cast("bigint")))
     for c in spec.get("float_cols", []):
         casts[c] = parse.strict_double(c)
     for c in spec.get("date_cols", []):

@@ -28,9 +28,8 @@ def trim(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
-REVENUE = ("CAST(ROUND(CAST(CAST(quantity AS DECIMAL(12,0)) * (CAST(100 AS DECIMAL(3,0)) - "
-           "CAST(discount AS DECIMAL(7,4))) AS DECIMAL(21,4)) * CAST(unit_price AS DECIMAL(16,6)), 0) "
-           "AS DOUBLE) / 100")
+_X = "(CAST(quantity AS DOUBLE) * unit_price * (1.0::DOUBLE - discount / 100.0::DOUBLE))"
+REVENUE = f"CASE WHEN abs({_X}) < 1e13 THEN sign({_X}) * floor(abs({_X}) * 100 + 0.5) / 100 ELSE {_X} END"
 
 
 def units(c: str, k: int) -> str:
@@ -48,8 +47,8 @@ def round_div(num: str, den: str) -> str:
 
 
 def avg_round(c: str, k: int) -> str:
-    s = f"CAST(SUM({units(c, k)}) AS HUGEINT)"
-    return f"CAST({round_div(s, f'CAST(COUNT({c}) AS HUGEINT)')} AS DOUBLE) / {10 ** k}"
+    s = f"CAST(SUM({units(c, k + 6)}) AS HUGEINT)"
+    return f"CAST({round_div(s, f'(CAST(COUNT({c}) AS HUGEINT) * 1000000)')} AS DOUBLE) / {10 ** k}"
 
 
 def ratio_round(num: str, den: str, k: int, factor: int) -> str:

@@ -27,16 +27,9 @@ REGION_POLICY = G.RowPolicy("america_only", frozenset({ANALYST}), "warehouse_reg
 MONEY_MASK = G.ColumnMask(("revenue", "unit_price"), frozenset({FINANCE}))
 
 
-_MODELS: dict = {}
-
-
 def _m(spark, sf_dir) -> Model:
-    """One model graph per session and folder: its layers are immutable lazy
-    plans, so every query built on them shares the construction."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = Model(spark, sf_dir)
-    return _MODELS[key]
+    """A new model graph per query: nothing is kept that could go stale."""
+    return Model(spark, sf_dir)
 
 
 def q_table_counts(spark, d):

@@ -9,13 +9,8 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL confs every query relies on (safe to set on a caller's session).
 #  - UTC session zone: timestamps parse, format and window in UTC.
-#  - No constraint propagation: the validation predicates are wide trees of
-#    parsed fields; pushed below their projections, constraint inference
-#    enumerates alias combinations (minutes of planning for one query).  Only
-#    inferred IS NOT NULL filters are lost, which never change a result.
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 # Join and shuffle policy, also pinned per query:
@@ -25,11 +20,7 @@ SEMANTIC_CONF = {
 #    of a side is under the runtime threshold.  Tables with a fixed size
 #    bound (nation, region, the campaign list) carry explicit broadcast hints.
 #  - AQE coalesces small shuffle partitions and splits skewed join partitions.
-#  - generated methods above HotSpot's JIT limit (8000 bytes of bytecode) are
-#    never compiled and run interpreted; stages that would produce one (the
-#    wide validation projection) fall back to per-expression codegen instead.
 PLAN_CONF = {
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.schemas import all_strings
 from ordermill.session import checkpoint_dir
 
 
@@ -20,11 +19,18 @@ from ordermill.session import checkpoint_dir
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Header CSV with every field as text (no inference), plus ``_pos``, the
     row's place in the input: (file, block offset, row id), which orders rows
-    as they stand in their files."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    as they stand in their files.
+
+    ``columns`` are found by their header names; a missing one is an error.
+    Quoting follows RFC 4180 (doubled quotes, line breaks inside quotes), so
+    one file is read by one task.  Files of one path share one header."""
+    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+          .option("multiLine", True).option("inferSchema", False).csv(path))
     if columns is not None:
-        reader = reader.schema(all_strings(columns))
-    df = reader.csv(path)
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"{path} lacks the columns {missing}")
+        df = df.select(*columns, "_metadata")
     pos = F.struct(F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("row"))
@@ -51,11 +57,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _delete_partitions(spark: SparkSession, path: str, column: str, values) -> None:
     for v in values:
-        fs, p = _fs(spark, f"{path}/{column}={v}")
+        fs, p = _fs(spark, f"{path}/{column}={NULL_PARTITION if v is None else v}")
         if fs.exists(p):
             fs.delete(p, True)
 
 
+# Fixed value: the folder of rows whose partition column is null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 # --- sinks ---------------------------------------------------------------------------
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -101,7 +111,9 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     touched_values = [r[0] for r in touched.collect()]
     if not touched_values:
         return
-    old = target.where(F.col(partition_by).isin(touched_values))
+    known = [v for v in touched_values if v is not None]
+    old = target.where(F.col(partition_by).isin(known)
+                       | (F.col(partition_by).isNull() & F.lit(len(known) < len(touched_values))))
     merged = upsert(old, source, keys).checkpoint()  # lineage cut: old files get replaced
     write_table(merged, path, [partition_by], replace="dynamic")
     kept = {r[0] for r in merged.select(partition_by).distinct().collect()}

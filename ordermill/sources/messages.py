@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.functions.parse import EVENT_TS_WRITE_FORMAT
 from ordermill.schemas import ORDER_COLUMNS, all_strings
 
 CORRUPT = "_corrupt_record"
 MESSAGE_FIELDS = ORDER_COLUMNS + ["source_system", "event_timestamp"]
 
 
+# Fixed value: the replay stamp has milliseconds.
+STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
 def encode_orders(rows: DataFrame, extra=(), source_system: str = "stream") -> DataFrame:
     """Add ``value``: the row as a JSON object of text (nulls kept as null)."""
     cols = [F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS]
@@ -25,7 +28,7 @@ def stamp_event_time(rows: DataFrame, now: Column | None = None, late_offset_s:
     (optionally moved back to simulate late data)."""
     now = F.current_timestamp() if now is None else now
     ts = now - F.make_interval(secs=F.lit(late_offset_s)) if late_offset_s else now
-    return rows.withColumn("event_timestamp", F.date_format(ts, EVENT_TS_WRITE_FORMAT))
+    return rows.withColumn("event_timestamp", F.date_format(ts, STAMP_FORMAT))
 
 
 def decode_orders(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -33,9 +36,13 @@ def decode_orders(messages: DataFrame, value: str = "value") -> DataFrame:
     keeps its text and sets ``_not_object``."""
     schema = all_strings(MESSAGE_FIELDS).add(CORRUPT, "string")
     text = F.col(value).cast("string")
-    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                                        "allowSingleQuotes": "false"})
     trimmed = F.ltrim(text)
-    not_object = (parsed.isNull() | parsed[CORRUPT].isNotNull() | ~trimmed.startswith("{"))
+    # text after the object: the text in brackets must be an array of exactly one value
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"})
+    not_object = (parsed.isNull() | parsed[CORRUPT].isNotNull() | ~trimmed.startswith("{")
+                  | ~F.coalesce(F.size(alone) == 1, F.lit(False)))
     out = messages.withColumn("_msg", parsed).withColumn("_not_object", not_object)
     return out.select(*[c for c in messages.columns],
                       *[F.col("_msg")[f].alias(f) for f in MESSAGE_FIELDS],

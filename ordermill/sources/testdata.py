@@ -20,16 +20,13 @@ TABLE_NAMES = ("region nation customer supplier part orders lineitem events "
 
 class Tables:
     """Lazy name -> DataFrame lookup over one folder of parquet tables.
-    Relations are resolved once per session and folder (file listing and
-    footer reads are not repeated for every query)."""
-
-    _relations: dict = {}
+    Each lookup object lists the files anew, so rows added between two
+    queries are seen."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
-        key = (spark.sparkContext.applicationId, id(spark), self.root)
-        self._cache: dict[str, DataFrame] = Tables._relations.setdefault(key, {})
+        self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -41,24 +38,6 @@ class Tables:
         return self._cache[name]
 
 
-# Inputs of at most this many splits may be spread.
-SPREAD_MAX_SPLITS = 4
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A small source read in very few splits (e.g. one file of one row
-    group) is dealt round-robin over the cores, so heavy narrow work after
-    the scan (text building, parsing) runs in parallel.  Only inputs of at
-    most SPREAD_MAX_SPLITS splits qualify (at most a few hundred MB is
-    shuffled for it); anything larger already has parallel splits and is
-    left as it is.  Used only before such work (joins shuffle anyway)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n < cores and n <= SPREAD_MAX_SPLITS:
-        return df.repartition(cores)
-    return df
-
-
 def _customer_geo(t: Tables) -> DataFrame:
     # nation (25 rows) and region (5 rows) are fixed-size: broadcast is bounded.
     nation = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
@@ -197,7 +176,7 @@ def order_text_rows(t: Tables) -> DataFrame:
     every tenth id and otherwise float text like '3.0'.  The key
     user_id % 10 '-' event_type repeats, which the dedup operators need.
     """
-    e = spread(t["events"])
+    e = t["events"]
     eid, uid = F.col("event_id"), F.col("user_id")
     s = lambda c: c.cast("string")
     quantity = (F.when(eid % 97 == 0, F.lit("N/A"))
@@ -248,7 +227,7 @@ def product_text_rows(t: Tables) -> DataFrame:
     levels every 31st."""
     k = F.col("p_partkey")
     s = lambda c: c.cast("string")
-    return spread(t["part"]).select(
+    return t["part"].select(
         F.when(k % 199 == 7, F.lit("")).otherwise(s(k)).alias("product_id"),
         F.col("p_type").alias("category"),
         s(F.col("p_size")).alias("subcategory"),

@@ -19,6 +19,8 @@ Design (Spark-first):
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,18 +70,18 @@ def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300
                        F.when(~ok, bad_struct).alias("bad"))
 
 
-def write_batch(good_path: str, bad_path: str):
+def write_batch(good_path: str, bad_path: str, run_name: str = "0"):
     """foreachBatch function: both sinks from one micro-batch, idempotent per
-    batch id (a replay overwrites its own folder)."""
+    run and batch id (a replay overwrites its own folder, never another run's)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            (batch.where(F.col("kind") == GOOD).select("good.*")
+            (batch.where(F.col("kind") == GOOD).select("good.*").hint("rebalance", "order_date")
              .write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy("order_date")
-             .parquet(f"{good_path}/batch_id={batch_id}"))
+             .parquet(f"{good_path}/batch_id={run_name}-{batch_id}"))
             (batch.where(F.col("kind") == BAD).select("bad.*")
-             .write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}"))
+             .write.mode("overwrite").parquet(f"{bad_path}/batch_id={run_name}-{batch_id}"))
         finally:
             batch.unpersist()
     return run
@@ -113,8 +115,10 @@ def start(messages: DataFrame, good_path: str, bad_path: str, checkpoint: str,
     key = "spark.sql.streaming.stateStore.providerClass"
     if "HDFSBackedStateStoreProvider" in (spark.conf.get(key, "") or "HDFSBacked"):
         spark.conf.set(key, ROCKSDB_PROVIDER)
+    # a new checkpoint counts its batches from 0 again: its folders carry its own name
+    run_name = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
     out = orders_stream(messages, window_s, lateness_s)
-    w = (out.writeStream.foreachBatch(write_batch(good_path, bad_path))
+    w = (out.writeStream.foreachBatch(write_batch(good_path, bad_path, run_name))
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if trigger:
         w = w.trigger(**trigger)

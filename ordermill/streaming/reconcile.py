@@ -12,7 +12,7 @@ from ordermill.sources.files import write_table
 
 
 def reconcile_sink(spark: SparkSession, path: str, keys=("order_id",),
-                   order=("ingestion_timestamp",), partition_by=("batch_id",)) -> dict:
+                   order=("ingestion_timestamp",), partition_by=("batch_id", "order_date")) -> dict:
     """Check, rewrite, confirm.  Returns the duplicate keys before and after.
     The rewrite reads the table it replaces, so lineage is cut first with a
     reliable checkpoint in the shared checkpoint folder."""

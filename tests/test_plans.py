@@ -37,13 +37,12 @@ def test_duplicate_copies_is_long_form(spark):
     assert out.count() == 10_000 and out.select("copies").distinct().collect()[0][0] == 10_000
 
 
-def test_star_join_broadcasts_only_within_bound(spark):
+def test_star_join_broadcasts_only_on_measured_size(spark):
     fact = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
     dim = spark.range(10).select(F.col("id").alias("k"), F.lit("n").alias("name"))
-    assert "BroadcastHashJoin" in plan(star_join(fact, dim, "k"))
-    big = star_join(fact, dim, "k", max_rows=5)
-    assert "BroadcastExchange" not in big._jdf.queryExecution().sparkPlan().toString()
-    assert big.count() == 1000
+    joined = star_join(fact, dim, "k")
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+    assert joined.count() == 1000
 
 
 def test_validation_split_does_not_reinline_parsing(spark):
@@ -63,7 +62,8 @@ def test_row_policy_reaches_the_scan(spark, tmp):
     from ordermill.operators.governance import RowPolicy, governed
     pol = RowPolicy("am", frozenset({"u"}), "warehouse_region = 'AMERICA'")
     p = plan(governed(spark.read.parquet(path), "u", [pol]))
-    assert "PushedFilters: [EqualTo(warehouse_region,AMERICA)]" in p
+    pushed = p[p.index("PushedFilters"):]
+    assert "EqualTo(warehouse_region,AMERICA)" in pushed[: pushed.index("ReadSchema")]
 
 
 def test_incremental_mark_filters_before_the_dedup_shuffle(spark):
