@@ -37,14 +37,6 @@ def dedup(df: DataFrame, keys: list[str], order: list, keep: str = "first",
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def later_copies(df: DataFrame, keys: list[str], order: list, tie_break: list | None = None) -> DataFrame:
-    """Rows with rn > 1 in ascending order: the copies a reconciliation removes."""
-    ordering = _ordering(order, "first") + [
-        (F.col(t) if isinstance(t, str) else t).asc_nulls_last() for t in (tie_break or [])]
-    w = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn > 1").drop("_rn")
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys with more than one row, with the count (HAVING count(*) > 1)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
