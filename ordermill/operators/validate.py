@@ -141,12 +141,16 @@ def split(validated: DataFrame, source: str = "batch", now: Column | None = None
     return good_rows(validated, source, now), error_rows(validated, source, now)
 
 
-def validation_counts(validated: DataFrame) -> DataFrame:
-    """Run counters in one aggregate: total, good and bad rows."""
+def counters() -> list[Column]:
+    """The run counters of validated rows: total, good and bad."""
     bad = F.col("error_reason").isNotNull()
-    return validated.agg(F.count(F.lit(1)).alias("total_rows"),
-                         F.count_if(~bad).alias("good_rows"),
-                         F.count_if(bad).alias("bad_rows"))
+    return [F.count(F.lit(1)).alias("total_rows"), F.count_if(~bad).alias("good_rows"),
+            F.count_if(bad).alias("bad_rows")]
+
+
+def validation_counts(validated: DataFrame) -> DataFrame:
+    """Run counters in one aggregate."""
+    return validated.agg(*counters())
 
 
 def coerce_dimension(df: DataFrame, spec: dict) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import calendar_parts, display_date
@@ -77,11 +77,15 @@ def incremental_fact(stg_batch: DataFrame, stg_stream: DataFrame,
     the dedup, not the whole history."""
     if existing is None:
         return fact_orders(int_orders_unioned(stg_batch, stg_stream))
-    mark = high_water_mark(existing, "loaded_at")
+    new = new_fact_rows(stg_batch, stg_stream, high_water_mark(existing, "loaded_at"))
+    return upsert(existing, new, ["order_id"])
+
+
+def new_fact_rows(stg_batch: DataFrame, stg_stream: DataFrame, mark: Column) -> DataFrame:
+    """Fact rows of the orders loaded after the mark."""
     new_b = stg_batch.where(F.col("loaded_at") > mark)
     new_s = stg_stream.where(F.col("loaded_at") > mark)
-    new = fact_rows(int_orders_unioned(new_b, new_s))
-    return upsert(existing, new, ["order_id"])
+    return fact_rows(int_orders_unioned(new_b, new_s))
 
 
 # The date dimension's default span (first day, number of days after it).

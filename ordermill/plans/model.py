@@ -1,8 +1,10 @@
-"""The whole model graph over one folder of test tables, built lazily.
+"""The whole model graph over one set of raw tables, built lazily.
 
-``Model(spark, sf_dir)`` exposes every layer as a DataFrame attribute; each
-is a lazy plan derived from the given tables, so Catalyst optimizes from the
-parquet scans to the final report.
+``Models(raw)`` exposes every layer over a lookup of raw tables as a
+DataFrame attribute; each is a lazy plan, so Catalyst optimizes from the
+parquet scans to the final report.  ``StoredRaw`` looks the raw tables up
+under a raw root, ``StandInRaw`` derives them from a folder of test tables;
+``Model(spark, sf_dir)`` is the latter with the stand-in runs beside it.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import validate as V
-from ordermill.operators.dedup import dedup
 from ordermill.plans import marts, staging
+from ordermill.schemas import RAW_TABLES
+from ordermill.session import prepare
 from ordermill.sources import testdata as td
+from ordermill.sources.files import read_declared
 from ordermill.sources.messages import decode_orders
 
 # Run parameters of the test-table model.
@@ -33,31 +37,58 @@ def ts_lit(v: _dt.datetime):
     return F.lit(v).cast("timestamp")
 
 
-class Model:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.t = td.Tables(spark, sf_dir)
+class StandInRaw:
+    """Raw tables derived from a folder of test tables."""
+
+    def __init__(self, tables: td.Tables):
+        self.t = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(td, f"raw_{name}")(self.t)
+
+    def order_dates(self) -> DataFrame:
+        return self.t["orders"].select(F.col("o_orderdate").cast("date").alias("order_date"))
+
+
+class StoredRaw:
+    """Raw tables that the ingest jobs keep under a raw root."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = prepare(spark)
+        self.root = root.rstrip("/")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return read_declared(self.spark, f"{self.root}/{name}", RAW_TABLES[name][0])
+
+    def order_dates(self) -> DataFrame:
+        return self["orders_batch"].select("order_date").unionByName(
+            self["orders_stream"].select("order_date"))
+
+
+class Models:
+    def __init__(self, raw):
+        self.raw = raw
 
     # raw layer ---------------------------------------------------------
     @cached_property
     def raw_orders_batch(self) -> DataFrame:
-        return td.raw_orders_batch(self.t)
+        return self.raw["orders_batch"]
 
     @cached_property
     def raw_orders_stream(self) -> DataFrame:
-        return td.raw_orders_stream(self.t)
+        return self.raw["orders_stream"]
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        return td.raw_customers(self.t)
+        return self.raw["customers"]
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        return td.raw_products(self.t)
+        return self.raw["products"]
 
     @cached_property
     def raw_campaigns(self) -> DataFrame:
-        return td.raw_campaigns(self.t)
+        return self.raw["campaigns"]
 
     # staging / intermediate / marts -----------------------------------------
     @cached_property
@@ -98,13 +129,37 @@ class Model:
 
     @cached_property
     def dim_date(self):
-        days = self.t["orders"].select(F.col("o_orderdate").cast("date").alias("d"))
-        return marts.dim_date(marts.date_spine_between(days, "d"))
+        return marts.dim_date(marts.date_spine_between(self.raw.order_dates(), "order_date"))
 
     @cached_property
     def fact_orders(self):
         return marts.fact_orders(self.int_orders_unioned)
 
+    # SQL access -----------------------------------------------------------------
+    VIEW_LAYERS = ("raw_orders_batch", "raw_orders_stream", "raw_customers", "raw_products",
+                   "raw_campaigns", "stg_orders_batch", "stg_orders_stream", "stg_customers",
+                   "stg_products", "stg_campaigns", "int_orders_unioned", "dim_customer",
+                   "dim_product", "dim_campaign", "dim_date", "fact_orders")
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every layer as a temp view (lazy: a view is the plan, not a
+        copy), so reports can also be written as Spark SQL."""
+        names = []
+        for layer in self.VIEW_LAYERS:
+            name = prefix + layer
+            getattr(self, layer).createOrReplaceTempView(name)
+            names.append(name)
+        return names
+
+
+class Model(Models):
+    """The model graph over a folder of test tables, and the stand-in runs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.t = td.Tables(spark, sf_dir)
+        super().__init__(StandInRaw(self.t))
+
     @cached_property
     def fact_orders_first_run(self):
         """The fact as the first run built it: only rows loaded before the cutoff."""
@@ -145,19 +200,3 @@ class Model:
         """Good stream rows with their window and ingestion (arrival) time."""
         g = self.validated_stream.where(F.col("error_reason").isNull())
         return g.withColumn("ingestion_timestamp", F.col("arrival_ts"))
-
-    # SQL access -----------------------------------------------------------------
-    VIEW_LAYERS = ("raw_orders_batch", "raw_orders_stream", "raw_customers", "raw_products",
-                   "raw_campaigns", "stg_orders_batch", "stg_orders_stream", "stg_customers",
-                   "stg_products", "stg_campaigns", "int_orders_unioned", "dim_customer",
-                   "dim_product", "dim_campaign", "dim_date", "fact_orders")
-
-    def register_views(self, prefix: str = "") -> list[str]:
-        """Expose every layer as a temp view (lazy: a view is the plan, not a
-        copy), so reports can also be written as Spark SQL."""
-        names = []
-        for layer in self.VIEW_LAYERS:
-            name = prefix + layer
-            getattr(self, layer).createOrReplaceTempView(name)
-            names.append(name)
-        return names

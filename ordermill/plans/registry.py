@@ -13,11 +13,11 @@ from ordermill.operators import quality as Q
 from ordermill.operators import validate as V
 from ordermill.operators.dedup import dedup, duplicate_copies, duplicate_keys, reconcile
 from ordermill.operators.upsert import insert_only, upsert
-from ordermill.plans import reports as R
+from ordermill.plans.build_job import REPORTS
 from ordermill.plans.model import (AS_OF, BATCH_RUN_CLOCK, DEDUP_WINDOW_S, EVENTS_FIRST_RUN,
                                    FIRST_LOAD_CUTOFF, FIRST_RUN_CLOCK, Model, ts_lit)
 from ordermill.plans.replay import error_order_ids, pending_rows
-from ordermill.schemas import DIMENSION_SPECS, ORDERS_BATCH
+from ordermill.schemas import PRODUCTS, coercion_spec
 from ordermill.sources import testdata as td
 
 # Principals and policies of the governed views.
@@ -130,8 +130,7 @@ def q_replay_pending_ids(spark, d):
 
 
 def q_coerce_dimension(spark, d):
-    return V.coerce_dimension(td.product_text_rows(td.Tables(spark, d)),
-                              DIMENSION_SPECS["products"])
+    return V.coerce_dimension(td.product_text_rows(td.Tables(spark, d)), coercion_spec(PRODUCTS))
 
 
 def _governed(spark, d, policies, masks):
@@ -154,7 +153,9 @@ def _layer(name):
     return lambda spark, d: getattr(_m(spark, d), name)
 
 
-def _report(fn, *dims, **kw):
+def _report(name, **kw):
+    fn, dims = REPORTS[name]
+
     def run(spark, d):
         m = _m(spark, d)
         return fn(m.fact_orders, *[getattr(m, x) for x in dims], **kw)
@@ -174,16 +175,8 @@ QUERIES = {
     "dim_date": _layer("dim_date"),
     "fact_orders": _layer("fact_orders"),
     "fact_orders_incremental": _layer("fact_orders_incremental"),
-    "rpt_sales_summary": _report(R.sales_summary, "dim_product"),
-    "revenue_by_category_90d": _report(R.revenue_by_category_recent, "dim_product", as_of=AS_OF),
-    "top_customers": _report(R.top_customers, "dim_customer"),
-    "campaign_effectiveness": _report(R.campaign_effectiveness, "dim_campaign"),
-    "return_rate_by_region": _report(R.return_rate_by_region),
-    "source_volume": _report(R.source_volume),
-    "kpi_scorecard": _report(R.kpi_scorecard, "dim_product"),
-    "revenue_over_time": _report(R.revenue_over_time),
-    "orders_by_category": _report(R.orders_by_category, "dim_product"),
-    "revenue_by_category": _report(R.revenue_by_category, "dim_product"),
+    **{name: _report(name) for name in REPORTS},
+    "revenue_by_category_90d": _report("revenue_by_category_90d", as_of=AS_OF),
     "table_counts": q_table_counts,
     "duplicate_order_ids": q_duplicate_order_ids,
     "duplicate_copies": q_duplicate_copies,

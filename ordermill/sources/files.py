@@ -1,17 +1,21 @@
 """File sources and table sinks.
 
 Tables are parquet folders.  Writes that replace data they also read (an
-upsert) first cut their lineage with a reliable ``checkpoint()`` in the
-session's shared checkpoint folder, then replace only the partitions they
-touch (dynamic partition overwrite) and remove partitions that end up empty.
+upsert) first write their result whole to a pending folder beside the table,
+then replace only the partitions they touch (dynamic partition overwrite) and
+remove partitions that end up empty.  A job lost during the replacement is
+finished from the pending folder by the next write to the table.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ordermill.session import checkpoint_dir
+from ordermill.operators.dedup import duplicate_keys
+from ordermill.operators.upsert import upsert
 
 
 # --- sources -----------------------------------------------------------------
@@ -50,20 +54,49 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when it does not exist yet."""
-    return spark.read.parquet(path) if table_exists(spark, path) else None
-
-
-def _delete_partitions(spark: SparkSession, path: str, column: str, values) -> None:
-    for v in values:
-        fs, p = _fs(spark, f"{path}/{column}={NULL_PARTITION if v is None else v}")
-        if fs.exists(p):
-            fs.delete(p, True)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None when it does not exist yet.  With its
+    declared ``schema`` a table without any file reads as no rows; without
+    one it counts as not there."""
+    if not table_exists(spark, path):
+        return None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
+def read_declared(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path`` in its declared schema; no rows when it is missing."""
+    table = read_table(spark, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
+
+
+def enforce_not_null(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in the declared columns and types; a null in a column declared
+    NOT NULL fails the job that writes it."""
+    def checked(f):
+        c = F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"null in NOT NULL column {f.name}")).cast(f.dataType))
+        return c.alias(f.name)
+    return df.select(*[checked(f) for f in schema.fields])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
-# Fixed value: the folder of rows whose partition column is null.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+def _delete_partition(spark: SparkSession, path: str, columns: list[str], values) -> None:
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folders = [names.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(columns, values)]
+    _delete(spark, "/".join([path.rstrip("/"), *folders]))
 
 
 # --- sinks ---------------------------------------------------------------------------
@@ -82,53 +115,98 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def pending_folder(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_pending_{name}"
+
+
+def finish_replacement(spark: SparkSession, path: str, partition_by: list[str]) -> bool:
+    """Carry out a replacement whose result lies whole in the pending folder
+    (``rows``, and the touched partitions in ``touched``); doing it twice gives
+    the same table.  A result that is not whole is thrown away: the table was
+    not touched yet.  True when one was finished."""
+    pending = pending_folder(path)
+    whole = table_exists(spark, f"{pending}/rows/_SUCCESS")
+    if whole:
+        rows = spark.read.parquet(f"{pending}/rows")
+        write_table(rows, path, partition_by, replace="dynamic" if partition_by else "static")
+        if partition_by:
+            left = rows.select(*partition_by).distinct()
+            touched = spark.read.parquet(f"{pending}/touched")
+            for gone in touched.exceptAll(left).collect():  # metadata: the emptied partitions
+                _delete_partition(spark, path, partition_by, gone)
+    _delete(spark, pending)
+    return whole
+
+
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[str],
                  partition_by: str | None = None) -> None:
     """MERGE source INTO the table at ``path`` ON keys: matched rows are
-    replaced (all columns), new rows inserted.
-
-    Partitioned tables rewrite only the touched partitions: those that
-    receive source rows and those that hold a matched row (a row that moves
-    to another partition leaves no stale copy).  Partitions left empty are
-    removed.  The touched-partition list is metadata (one value per
-    partition), the only thing collected to the driver.
+    replaced (all columns), new rows inserted.  A key that the source holds
+    more than once is an error, as in a MERGE; null keys match nothing.
+
+    The source is evaluated once, into the pending folder.  Partitioned
+    tables rewrite only the touched partitions: those that receive source
+    rows and those that hold a matched row (a row that moves to another
+    partition leaves no stale copy).  Partitions left empty are removed.  The
+    touched-partition list is metadata (one value per partition), the only
+    thing collected to the driver.
     """
-    from ordermill.operators.upsert import upsert
-
-    target = read_table(spark, path)
-    if target is None:
-        write_table(source, path, [partition_by] if partition_by else None)
-        return
-    checkpoint_dir(spark)
-    source = source.select(*target.columns)
-    if not partition_by:
-        merged = upsert(target, source, keys).checkpoint()
-        write_table(merged, path)
+    parts = [partition_by] if partition_by else []
+    finish_replacement(spark, path, parts)
+    pending = pending_folder(path)
+    source.write.parquet(f"{pending}/source")
+    source = spark.read.schema(source.schema).parquet(f"{pending}/source")
+    named = source.na.drop(subset=keys).select(*keys)
+    twice = duplicate_keys(named, keys).limit(1).collect()
+    if twice:
+        _delete(spark, pending)
+        raise ValueError(f"key {tuple(twice[0][:-1])} occurs more than once in the rows for {path}")
+    stored = read_table(spark, path)
+    if stored is None:
+        write_table(source, path, parts)
+        _delete(spark, pending)
         return
-    src_keys = source.select(*keys).distinct()
-    matched_parts = target.join(src_keys, keys, "left_semi").select(partition_by)
-    touched = source.select(partition_by).union(matched_parts).distinct()
-    touched_values = [r[0] for r in touched.collect()]
-    if not touched_values:
-        return
-    known = [v for v in touched_values if v is not None]
-    old = target.where(F.col(partition_by).isin(known)
-                       | (F.col(partition_by).isNull() & F.lit(len(known) < len(touched_values))))
-    merged = upsert(old, source, keys).checkpoint()  # lineage cut: old files get replaced
-    write_table(merged, path, [partition_by], replace="dynamic")
-    kept = {r[0] for r in merged.select(partition_by).distinct().collect()}
-    _delete_partitions(spark, path, partition_by, [v for v in touched_values if v not in kept])
+    if set(stored.columns) != set(source.columns):
+        _delete(spark, pending)
+        raise ValueError(f"{path} has the columns {stored.columns}, its new rows {source.columns}")
+    # the types of the new rows: a partition column is not guessed from folder names
+    target = read_table(spark, path, source.schema)
+    if partition_by:
+        matched = target.join(named, keys, "left_semi").select(partition_by)
+        touched = source.select(partition_by).union(matched).distinct()
+        touched.write.parquet(f"{pending}/touched")
+        values = [r[0] for r in spark.read.parquet(f"{pending}/touched").collect()]
+        known = [v for v in values if v is not None]
+        target = target.where(F.col(partition_by).isin(known)
+                              | (F.col(partition_by).isNull() & F.lit(len(known) < len(values))))
+    upsert(target, source, keys).write.parquet(f"{pending}/rows")
+    finish_replacement(spark, path, parts)
 
 
 def insert_new(spark: SparkSession, source: DataFrame, path: str, keys: list[str]) -> None:
     """MERGE ... WHEN NOT MATCHED INSERT: append the source rows whose key is
-    not in the table yet (appending never rewrites what is read)."""
-    target = read_table(spark, path)
-    if target is None:
-        write_table(source, path)
-        return
-    new = source.join(target.select(*keys).distinct(), keys, "left_anti")
-    write_table(new.select(*target.columns), path, mode="append")
+    not in the table yet (appending never rewrites what is read).  The source
+    is evaluated once, into a pending folder."""
+    pending = f"{pending_folder(path)}_new"
+    _delete(spark, pending)
+    source.write.parquet(pending)
+    source = spark.read.schema(source.schema).parquet(pending)
+    target = read_table(spark, path, source.schema)
+    new = source if target is None else source.join(target.select(*keys).distinct(), keys, "left_anti")
+    write_table(new.select(*source.columns), path, mode="append")
+    _delete(spark, pending)
+
+
+def create_tables(spark: SparkSession, root: str, tables: dict) -> list[str]:
+    """Create the missing tables of ``tables`` (by name, see schemas.RAW_TABLES)
+    under ``root``, empty; returns their names.  Writers hold a table to its
+    declared schema with ``enforce_not_null``, readers read it in that schema."""
+    missing = [n for n in tables if not table_exists(spark, f"{root}/{n}")]
+    for name in missing:
+        fs, p = _fs(spark, f"{root}/{name}")
+        fs.mkdirs(p)
+    return missing
 
 
 def materialize(df: DataFrame, kind: str, name: str, root: str | None = None,
@@ -147,7 +225,9 @@ def materialize(df: DataFrame, kind: str, name: str, root: str | None = None,
     if kind == "table":
         write_table(df, path, [partition_by] if partition_by else None)
     elif kind == "incremental":
-        upsert_table(spark, df, path, keys or [], partition_by)
+        if not keys:
+            raise ValueError("an incremental table needs its keys")
+        upsert_table(spark, df, path, keys, partition_by)
     else:
         raise ValueError(f"unknown materialization {kind}")
-    return spark.read.parquet(path)
+    return read_declared(spark, path, df.schema)

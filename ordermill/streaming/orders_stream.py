@@ -20,16 +20,22 @@ Design (Spark-first):
 from __future__ import annotations
 
 import hashlib
+import logging
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ordermill.functions.dates import window_start
 from ordermill.operators import validate as V
 from ordermill.schemas import ERRORS, ORDERS_STREAM
+from ordermill.sources.files import enforce_not_null, read_table, table_exists
 from ordermill.sources.messages import decode_orders
 
+log = logging.getLogger(__name__)
+
 GOOD, BAD = "good", "bad"
+COUNTERS = "validated_messages"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -51,7 +57,7 @@ def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300
     checked = V.validate_orders(decoded, "stream", raw=F.col("value"), arrival_ts=F.col("arrival_ts"),
                                 window_s=window_s, lateness_s=lateness_s)
     ok = F.col("error_reason").isNull()
-    keyed = checked.withColumns({
+    keyed = checked.observe(COUNTERS, *V.counters()).withColumns({
         "_wm": F.when(ok, F.least("event_timestamp", "arrival_ts")).otherwise(F.col("arrival_ts")),
         "_window_start": F.when(ok, window_start(F.col("event_timestamp"), window_s)),
         "_error_id": F.when(~ok, F.md5(F.col("raw_row"))),
@@ -76,27 +82,63 @@ def write_batch(good_path: str, bad_path: str, run_name: str = "0"):
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            (batch.where(F.col("kind") == GOOD).select("good.*").hint("rebalance", "order_date")
-             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            good = enforce_not_null(batch.where(F.col("kind") == GOOD).select("good.*"), ORDERS_STREAM)
+            bad = enforce_not_null(batch.where(F.col("kind") == BAD).select("bad.*"), ERRORS)
+            (good.hint("rebalance", "order_date").write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy("order_date")
              .parquet(f"{good_path}/batch_id={run_name}-{batch_id}"))
-            (batch.where(F.col("kind") == BAD).select("bad.*")
-             .write.mode("overwrite").parquet(f"{bad_path}/batch_id={run_name}-{batch_id}"))
+            bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={run_name}-{batch_id}")
         finally:
             batch.unpersist()
     return run
 
 
+class RunCounters(StreamingQueryListener):
+    """Counters of the order streams of a session, over all their batches:
+    messages read, good and bad ones, rows the dedup left out, and rows the
+    watermark dropped.  The last must stay 0 (late rows are error rows before
+    the watermark sees them); any is logged as an error."""
+
+    def __init__(self):
+        self.counts = {"total_rows": 0, "good_rows": 0, "bad_rows": 0,
+                       "dropped_as_copies": 0, "dropped_by_watermark": 0}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        seen = progress.observedMetrics.get(COUNTERS)
+        if seen is None:
+            return
+        for name in ("total_rows", "good_rows", "bad_rows"):
+            self.counts[name] += seen[name]
+        for state in progress.stateOperators:
+            self.counts["dropped_by_watermark"] += state.numRowsDroppedByWatermark
+            self.counts["dropped_as_copies"] += state.customMetrics.get("numDroppedDuplicateRows", 0)
+            if state.numRowsDroppedByWatermark:
+                log.error("batch %s: %s rows dropped by the watermark", progress.batchId,
+                          state.numRowsDroppedByWatermark)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def check_sink(spark, path: str, schema, must_exist: bool = False) -> None:
     """An existing sink must hold the expected columns with the same types
     (appending other shapes would corrupt it); with must_exist the sink has
     to be there already (created by its DDL)."""
-    from ordermill.sources.files import table_exists
     if not table_exists(spark, path):
         if must_exist:
             raise ValueError(f"sink {path} does not exist")
         return
-    have = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    table = read_table(spark, path)
+    if table is None:  # created, or only batches without rows so far
+        return
+    have = {f.name: f.dataType for f in table.schema.fields}
     wrong = [f.name for f in schema.fields if have.get(f.name) != f.dataType]
     if wrong:
         raise ValueError(f"sink {path} does not match the expected schema: {wrong}")

@@ -77,7 +77,7 @@ def test_replay_job_publishes_pending_rows(spark, tmp):
     good = spark.createDataFrame([("N0",)], "order_id string")
     out = os.path.join(tmp, "msgs")
     res = run_replay(spark, csv, out, good, None, F.lit(dt.datetime(2026, 5, 30, 10)).cast("timestamp"), 500)
-    assert res == {"rows": 4, "sent": 3, "skipped": 1, "sent_total": 3}
+    assert res == {"rows": 4, "sent": 3, "skipped": 1, "errors_without_id": 0}
     sent = [json.loads(r.value) for r in spark.read.text(out).collect()]
     assert sorted(m["order_id"] for m in sent) == ["N1", "N2", "N3"]
     assert {m["event_timestamp"] for m in sent} == {"2026-05-30T09:51:40.000Z"}
