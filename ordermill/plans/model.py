@@ -183,8 +183,10 @@ class Model(Models):
 
     @cached_property
     def validated_stream(self):
-        msgs = decode_orders(td.order_messages(self.t))
-        return V.validate_orders(msgs, "stream", raw=F.col("value"), arrival_ts=F.col("arrival_ts"),
+        return self.validated_messages(td.order_messages(self.t))
+
+    def validated_messages(self, messages: DataFrame) -> DataFrame:
+        return V.validate_orders(decode_orders(messages), "stream", raw=F.col("value"), arrival_ts=F.col("arrival_ts"),
                                  window_s=WINDOW_S, lateness_s=LATENESS_S)
 
     @cached_property

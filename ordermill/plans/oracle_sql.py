@@ -1,19 +1,35 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL is independent of the Spark code: it reads the same test tables
-(pre-registered as views) and states each model, merge and report in plain
-SQL.  Money uses the same exact-cents rules as ``functions.money``.
+The SQL reads the same test tables (pre-registered as views) and states each
+model, merge, report and check in plain SQL with its own column lists, text
+patterns, error texts and check order; only the run parameters (clocks,
+cutoffs, window) are shared with the code under test.
 """
 
 from __future__ import annotations
 
-from ordermill.functions import parse as P
-from ordermill.operators import validate as V
 from ordermill.plans.model import (AS_OF, BATCH_RUN_CLOCK, DEDUP_WINDOW_S, EVENTS_FIRST_RUN,
                                    FIRST_LOAD_CUTOFF, FIRST_RUN_CLOCK, LATENESS_S, WINDOW_S)
-from ordermill.plans.staging import ORDER_TRIMMED, STG_ORDER_COLUMNS
-from ordermill.schemas import ORDER_COLUMNS
-from ordermill.sources.testdata import CAMPAIGN_LIST, HUBS
+
+# The order contract as the SQL states it.
+ORDER_COLUMNS = ("order_id customer_id product_id region_id campaign_id order_date quantity unit_price discount "
+                 "shipping_cost payment_method delivery_days returned_flag order_status warehouse_region "
+                 "customer_rating customer_city customer_state").split()
+STG_ORDER_COLUMNS = ORDER_COLUMNS + ["source_system", "loaded_at"]
+ORDER_TRIMMED = "payment_method order_status warehouse_region customer_city customer_state".split()
+# Numbers in the order they are checked, with their kind.
+NUMBERS = {"customer_id": "integer", "product_id": "integer", "region_id": "integer", "campaign_id": "whole",
+           "quantity": "integer", "unit_price": "number", "discount": "number", "shipping_cost": "number",
+           "delivery_days": "integer", "returned_flag": "integer", "customer_rating": "integer"}
+DIGITS = "[0-9]+(_[0-9]+)*"
+INTEGER = rf"^\s*[-+]?{DIGITS}\s*$"
+NUMBER = rf"^\s*[-+]?({DIGITS}(\.({DIGITS})?)?|\.{DIGITS})([eE][-+]?{DIGITS})?\s*$"
+NOT_FINITE = r"^\s*[-+]?(inf|infinity|nan)\s*$"
+DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+EVENT_TIME = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\.[0-9]{1,6}Z$"
+# Stand-in lists.
+HUBS = ["North Hub", "South Hub", "East Hub", "West Hub"]
+CAMPAIGN_LIST = [(i, f"Campaign {i}", ["Low", "Medium", "High"][i % 3]) for i in range(1, 10)]
 
 
 def q(s: str) -> str:
@@ -57,12 +73,11 @@ def ratio_round(num: str, den: str, k: int, factor: int) -> str:
 
 
 def strict_long(c: str) -> str:
-    return (f"CASE WHEN regexp_matches({c}, {q(P.INT_PATTERN)}) "
-            f"THEN TRY_CAST(replace({c}, '_', '') AS BIGINT) END")
+    return f"CASE WHEN regexp_matches({c}, {q(INTEGER)}) THEN TRY_CAST(replace({c}, '_', '') AS BIGINT) END"
 
 
 def strict_double(c: str) -> str:
-    return (f"CASE WHEN regexp_matches({c}, {q(P.FLOAT_PATTERN)}) "
+    return (f"CASE WHEN regexp_matches({c}, {q(NUMBER)}) OR regexp_matches({c}, {q(NOT_FINITE)}, 'i') "
             f"THEN TRY_CAST(replace({c}, '_', '') AS DOUBLE) END")
 
 
@@ -71,13 +86,14 @@ def lenient_long(c: str) -> str:
 
 
 def strict_date(c: str) -> str:
-    return (f"CASE WHEN regexp_matches({c}, {q(P.DATE_PATTERN)}) "
-            f"THEN CAST(try_strptime({c}, '%Y-%m-%d') AS DATE) END")
+    return f"CASE WHEN regexp_matches({c}, {q(DATE)}) THEN CAST(try_strptime({c}, '%Y-%m-%d') AS DATE) END"
 
 
 def strict_event_ts(c: str) -> str:
-    return (f"CASE WHEN regexp_matches({c}, {q(P.EVENT_TS_PATTERN)}) "
-            f"THEN try_strptime({c}, '%Y-%m-%dT%H:%M:%S.%fZ') END")
+    return f"CASE WHEN regexp_matches({c}, {q(EVENT_TIME)}) THEN try_strptime({c}, '%Y-%m-%dT%H:%M:%S.%fZ') END"
+
+
+TYPED = {"integer": strict_long, "whole": lenient_long, "number": strict_double}
 
 
 def stg_orders(src: str, tag: str) -> str:
@@ -116,29 +132,29 @@ def validated(src: str, stream: bool) -> str:
     texts = ORDER_COLUMNS + (["event_timestamp"] if stream else [])
     raw = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in ORDER_COLUMNS) + ")"
     nulls = ", ".join(f"NULLIF({c}, '') AS {c}" for c in texts)
-    typed = {c: strict_long(c) for c in V.INT_FIELDS}
-    typed.update({c: strict_double(c) for c in V.FLOAT_FIELDS})
-    typed["campaign_id"] = lenient_long("campaign_id")
-    typed["order_date"] = strict_date("order_date")
+    typed = {c: TYPED[kind](c) for c, kind in NUMBERS.items()} | {"order_date": strict_date("order_date")}
     if stream:
         typed["event_timestamp"] = strict_event_ts("event_timestamp")
     # concat_ws skips nulls: the names of the missing fields, comma separated
     names = "concat_ws(', ', " + ", ".join(f"CASE WHEN {c} IS NULL THEN {q(repr(c))} END"
-                                           for c in V.REQUIRED_FIELDS) + ")"
-    checks = [f"CASE WHEN {names} <> '' THEN {q(V.MISSING + '[')} || {names} || ']' END"]
-    for c in V.CAST_ORDER:
-        msg = V.BAD_FLOAT if c in V.FLOAT_FIELDS or c == "campaign_id" else V.BAD_INT
-        checks.append(f"CASE WHEN {c} IS NOT NULL AND __t_{c} IS NULL THEN {q(msg.format(c))} END")
+                                           for c in ORDER_COLUMNS if c != "campaign_id") + ")"
+    checks = [f"CASE WHEN {names} <> '' THEN 'missing required field(s): [' || {names} || ']' END"]
+    for c, kind in NUMBERS.items():
+        noun = "integer" if kind == "integer" else "number"
+        checks.append(f"CASE WHEN {c} IS NOT NULL AND __t_{c} IS NULL THEN 'invalid {noun} for {c}' END")
         if c == "quantity":
-            checks.append(f"CASE WHEN __t_quantity <= 0 THEN {q(V.QTY_NOT_POSITIVE)} END")
-    checks.append(f"CASE WHEN order_date IS NOT NULL AND __t_order_date IS NULL THEN {q(V.BAD_DATE)} END")
+            checks.append("CASE WHEN __t_quantity <= 0 THEN 'quantity must be positive' END")
+    checks.append("CASE WHEN order_date IS NOT NULL AND __t_order_date IS NULL "
+                  "THEN 'invalid order_date: expected %Y-%m-%d' END")
     if stream:
-        checks.append(f"CASE WHEN __t_event_timestamp IS NULL THEN {q(V.BAD_EVENT_TS)} END")
+        checks.append("CASE WHEN __t_event_timestamp IS NULL "
+                      "THEN 'invalid event_timestamp: expected %Y-%m-%dT%H:%M:%S.%fZ' END")
         lat = "(epoch_us(_arrival_ts) - epoch_us(__t_event_timestamp))"
-        head, tail = V.TOO_LATE.split("{}s after", 1)
-        tail = "s after" + tail.format(WINDOW_S + LATENESS_S, WINDOW_S, LATENESS_S)
-        checks.append(f"CASE WHEN {lat} > {(WINDOW_S + LATENESS_S) * 1_000_000} THEN "
-                      f"{q(head)} || CAST({lat} // 1000000 AS VARCHAR) || {q(tail)} END")
+        limit = WINDOW_S + LATENESS_S
+        checks.append(f"CASE WHEN {lat} > {limit * 1_000_000} THEN 'event arrived too late to process: ' || "
+                      f"CAST({lat} // 1000000 AS VARCHAR) || 's after event_timestamp, exceeds max allowed lateness "
+                      f"of {limit}s (window={WINDOW_S}s + allowed_lateness={LATENESS_S}s) -- would otherwise be "
+                      f"silently dropped by the window' END")
     typed_sql = ", ".join(f"{e} AS __t_{c}" for c, e in typed.items())
     return (f"SELECT *, COALESCE({', '.join(checks)}) AS error_reason FROM ("
             f"SELECT *, {typed_sql} FROM (SELECT * REPLACE ({nulls}) FROM ("
@@ -146,7 +162,7 @@ def validated(src: str, stream: bool) -> str:
 
 
 def good_batch(src: str, clock) -> str:
-    typed = {c: f"__t_{c}" for c in V.INT_FIELDS + V.FLOAT_FIELDS + ["campaign_id", "order_date"]}
+    typed = {c: f"__t_{c}" for c in [*NUMBERS, "order_date"]}
     cols = [f"{typed.get(c, c)} AS {c}" for c in ORDER_COLUMNS]
     return f"SELECT {', '.join(cols)}, 'batch' AS source_system, {ts(clock)} AS ingestion_timestamp FROM {src}"
 
@@ -273,24 +289,79 @@ def _counts(parts: list[tuple[str, str]]) -> str:
     return "\nUNION ALL\n".join(f"SELECT {q(n)} AS table_name, COUNT(*) AS row_count FROM {t}" for n, t in parts)
 
 
-def _quality() -> str:
-    from ordermill.operators.quality import STAR_SCHEMA_CHECKS
-    src = {"fact_orders": "fact", "dim_customer": "dim_customer", "dim_product": "dim_product",
-           "dim_campaign": "dim_campaign", "dim_date": "dim_date"}
-    parts = []
-    for table, col, check, target in STAR_SCHEMA_CHECKS:
-        head = f"SELECT {q(table)} AS table_name, {q(col)} AS column_name, {q(check)} AS test, COUNT(*) AS failures"
-        t = src[table]
-        if check == "not_null":
-            parts.append(f"{head} FROM {t} WHERE {col} IS NULL")
-        elif check == "unique":
-            parts.append(f"{head} FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)")
-        else:
-            parts.append(f"{head} FROM {t} x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
-                         f"(SELECT 1 FROM {src[target[0]]} y WHERE y.{target[1]} = x.{col})")
+# Keys of the star schema, what must not be null, and what points where.
+STAR_KEYS = {"fact_orders": "order_id", "dim_customer": "customer_key", "dim_product": "product_key",
+             "dim_campaign": "campaign_key", "dim_date": "date_key"}
+NOT_NULL = [*STAR_KEYS.items(), ("fact_orders", "customer_key"), ("fact_orders", "product_key"),
+            ("fact_orders", "revenue")]
+POINTERS = {"customer_key": "dim_customer", "product_key": "dim_product", "campaign_key": "dim_campaign"}
+
+
+def _quality(names: dict) -> str:
+    """The suite over the tables or CTEs that ``names`` gives for the models."""
+    def part(table, col, test, body):
+        return f"SELECT '{table}' AS table_name, '{col}' AS column_name, '{test}' AS test, COUNT(*) AS failures FROM {body}"
+    parts = [part(t, c, "not_null", f"{names[t]} WHERE {c} IS NULL") for t, c in NOT_NULL]
+    parts += [part(t, c, "unique", f"(SELECT {c} FROM {names[t]} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
+              for t, c in STAR_KEYS.items()]
+    parts += [part("fact_orders", c, "relationships", f"{names['fact_orders']} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {names[d]} y WHERE y.{c} = x.{c})") for c, d in POINTERS.items()]
     return "\nUNION ALL\n".join(parts)
 
 
+def _broken(table: str, key: str, null_at: str, twice_at: str) -> str:
+    once = f"SELECT {key} FROM {table}"
+    return (f"SELECT CASE WHEN NOT ({null_at}) THEN {key} END AS {key} FROM "
+            f"({once} UNION ALL {once} WHERE {twice_at})")
+
+
+BROKEN = {
+    "b_fact": """SELECT CASE WHEN product_key % 101 <> 0 THEN order_id END AS order_id,
+  CASE product_key % 103 WHEN 1 THEN NULL WHEN 2 THEN customer_key + 1000000000000 ELSE customer_key END AS customer_key,
+  CASE customer_key % 107 WHEN 3 THEN NULL WHEN 4 THEN -product_key ELSE product_key END AS product_key,
+  CASE WHEN product_key % 109 = 5 THEN 99 ELSE campaign_key END AS campaign_key,
+  CASE WHEN customer_key % 113 <> 6 THEN revenue END AS revenue
+FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE product_key % 127 = 7)""",
+    "b_customer": _broken("dim_customer", "customer_key", "customer_key % 131 = 1", "customer_key % 137 = 2"),
+    "b_product": _broken("dim_product", "product_key", "product_key % 131 = 1", "product_key % 137 = 2"),
+    "b_campaign": _broken("dim_campaign", "campaign_key", "campaign_key = 5", "campaign_key = 3"),
+    "b_date": _broken("dim_date", "date_key", "day(date_key) = 31", "day(date_key) = 29"),
+}
+
+FAULTY_TEXT = """SELECT * REPLACE (
+  CASE WHEN _pos % 13 = 1 THEN '' ELSE order_id END AS order_id,
+  CASE WHEN _pos % 13 = 1 THEN '' WHEN _pos % 17 <> 2 THEN customer_id END AS customer_id,
+  CASE WHEN _pos % 19 = 3 THEN '2024-02-30' WHEN _pos % 23 = 4 THEN '30/05/2024' ELSE order_date END AS order_date,
+  CASE WHEN _pos % 29 = 5 THEN '12,5' WHEN _pos % 31 = 6 THEN '1_000.5e0' ELSE unit_price END AS unit_price,
+  CASE WHEN _pos % 37 = 7 THEN 'x' ELSE campaign_id END AS campaign_id,
+  CASE WHEN _pos % 41 = 8 THEN '4.5' ELSE customer_rating END AS customer_rating,
+  CASE WHEN _pos % 43 = 9 THEN repeat('long ', 500) ELSE customer_city END AS customer_city,
+  CASE WHEN _pos % 43 = 9 THEN '-1' WHEN _pos % 47 = 10 THEN ' +1_0 ' WHEN _pos % 53 = 11 THEN '1__0'
+       ELSE quantity END AS quantity) FROM ev_text"""
+WIDE = """SELECT * REPLACE (discount + CASE WHEN product_id % 50 = 7 THEN CAST(0.123456 AS DOUBLE)
+  WHEN product_id % 97 = 11 THEN CAST(1000.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS discount) FROM int_orders"""
+MANY_IDS = "SELECT * REPLACE (order_id || '-' || CAST(_pos % 500 AS VARCHAR) AS order_id) FROM ev_text"
+
+
+def whole(c: str) -> str:
+    """Integer text, or a float that is a whole number."""
+    d = strict_double(c)
+    return f"COALESCE({strict_long(c)}, CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS BIGINT) END)"
+
+
+def _products(key: str) -> str:
+    """Coerced product text rows under a rule for the text of the key."""
+    return f"""SELECT * FROM (SELECT {whole('product_id')} AS product_id,
+  category, subcategory, brand, season_tag, {strict_double('mrp')} AS mrp,
+  {strict_double('profit_margin_pct')} AS profit_margin_pct, supplier_name, {whole('stock_level')} AS stock_level
+FROM (SELECT CASE WHEN p_partkey % 199 = 7 THEN '' ELSE {key} END AS product_id,
+  p_type AS category, CAST(p_size AS VARCHAR) AS subcategory, p_brand AS brand, CAST(NULL AS VARCHAR) AS season_tag,
+  CASE WHEN p_partkey % 50 = 3 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS mrp,
+  CAST(p_size AS VARCHAR) || '.5' AS profit_margin_pct, CAST(NULL AS VARCHAR) AS supplier_name,
+  CASE WHEN p_partkey % 31 = 0 THEN 'many' ELSE CAST(p_partkey % 500 AS VARCHAR) END AS stock_level
+FROM part) p) WHERE product_id IS NOT NULL"""
+
+
 _AS_OF = f"DATE '{AS_OF.isoformat()}'"
 _GOOD_BATCH = good_batch("v_batch WHERE error_reason IS NULL", BATCH_RUN_CLOCK)
 
@@ -386,19 +457,29 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT order_id FROM raw_orders_stream
     "masked_view": "SELECT * REPLACE (CAST(NULL AS DOUBLE) AS revenue, CAST(NULL AS DOUBLE) AS unit_price) FROM fact",
     "row_and_mask_view": """SELECT * REPLACE (CAST(NULL AS DOUBLE) AS revenue, CAST(NULL AS DOUBLE) AS unit_price)
 FROM fact WHERE warehouse_region = 'AMERICA'""",
-    "coerce_dimension": f"""SELECT * FROM (SELECT
-  CASE WHEN {strict_double('product_id')} = floor({strict_double('product_id')}) THEN TRY_CAST({strict_double('product_id')} AS BIGINT) END AS product_id,
-  category, subcategory, brand, season_tag, {strict_double('mrp')} AS mrp,
-  {strict_double('profit_margin_pct')} AS profit_margin_pct, supplier_name,
-  CASE WHEN {strict_double('stock_level')} = floor({strict_double('stock_level')}) THEN TRY_CAST({strict_double('stock_level')} AS BIGINT) END AS stock_level
-FROM (SELECT CASE WHEN p_partkey % 199 = 7 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS product_id,
-  p_type AS category, CAST(p_size AS VARCHAR) AS subcategory, p_brand AS brand,
-  CAST(NULL AS VARCHAR) AS season_tag,
-  CASE WHEN p_partkey % 50 = 3 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS mrp,
-  CAST(p_size AS VARCHAR) || '.5' AS profit_margin_pct, CAST(NULL AS VARCHAR) AS supplier_name,
-  CASE WHEN p_partkey % 31 = 0 THEN 'many' ELSE CAST(p_partkey % 500 AS VARCHAR) END AS stock_level
-FROM part) p) WHERE product_id IS NOT NULL""",
-    "quality_suite": _quality(),
+    "coerce_dimension": _products("CAST(p_partkey AS VARCHAR)"),
+    "quality_suite": _quality({t: t.replace("fact_orders", "fact") for t in STAR_KEYS}),
+    "validate_faults": f"SELECT * FROM ({error_rows('v_faulty', 'stream', ts(BATCH_RUN_CLOCK))})",
+    "validate_odd_good": good_batch("v_faulty WHERE error_reason IS NULL", BATCH_RUN_CLOCK),
+    "duplicate_raw_order_ids": "SELECT order_id, COUNT(*) AS cnt FROM ev_text GROUP BY order_id HAVING COUNT(*) > 1",
+    "replay_pending_events": f"""SELECT order_id, customer_id, _event_ts FROM v_many
+WHERE order_id NOT IN (SELECT order_id FROM v_many WHERE error_reason IS NOT NULL
+  OR __t_event_timestamp < {ts(EVENTS_FIRST_RUN)})""",
+    "fact_wide_discounts": "SELECT * FROM wide_fact",
+    "campaigns_wide_discounts": f"""SELECT COALESCE(c.campaign_name, 'No Campaign (Organic)') AS campaign_name,
+  COUNT(DISTINCT f.order_id) AS order_count, {sum_units('f.revenue')} AS total_revenue,
+  {avg_round('f.discount', 2)} AS avg_discount_pct
+FROM wide_fact f LEFT JOIN dim_campaign c ON f.campaign_key = c.campaign_key GROUP BY 1""",
+    "coerce_wide_keys": _products("""CASE WHEN p_partkey % 11 = 4 THEN CAST(p_partkey + 9007199254740992 AS VARCHAR)
+  WHEN p_partkey % 13 = 5 THEN CAST(p_partkey AS VARCHAR) || '.0' ELSE CAST(p_partkey AS VARCHAR) END"""),
+    "quality_suite_faults": _quality({"fact_orders": "b_fact", "dim_customer": "b_customer", "dim_product": "b_product",
+                                      "dim_campaign": "b_campaign", "dim_date": "b_date"}),
+}
+
+CTES |= BROKEN | {
+    "wide_orders": WIDE, "wide_fact": fact("wide_orders"),
+    "ev_faulty": FAULTY_TEXT, "v_faulty": validated("ev_faulty", stream=False),
+    "ev_many": MANY_IDS, "v_many": validated("ev_many", stream=True),
 }
 
 

@@ -13,11 +13,13 @@ from ordermill.operators import quality as Q
 from ordermill.operators import validate as V
 from ordermill.operators.dedup import dedup, duplicate_copies, duplicate_keys, reconcile
 from ordermill.operators.upsert import insert_only, upsert
+from ordermill.plans import marts
 from ordermill.plans.build_job import REPORTS
 from ordermill.plans.model import (AS_OF, BATCH_RUN_CLOCK, DEDUP_WINDOW_S, EVENTS_FIRST_RUN,
                                    FIRST_LOAD_CUTOFF, FIRST_RUN_CLOCK, Model, ts_lit)
 from ordermill.plans.replay import error_order_ids, pending_rows
 from ordermill.schemas import PRODUCTS, coercion_spec
+from ordermill.sources import faults
 from ordermill.sources import testdata as td
 
 # Principals and policies of the governed views.
@@ -133,6 +135,51 @@ def q_coerce_dimension(spark, d):
     return V.coerce_dimension(td.product_text_rows(td.Tables(spark, d)), coercion_spec(PRODUCTS))
 
 
+# over the stand-ins with planted faults
+
+def q_validate_faults(spark, d):
+    """Error rows of every kind; text cut as the stream's error table has it."""
+    m = _m(spark, d)
+    return V.error_rows(m.validated_batch(faults.order_text_rows(m.t)), "stream", ts_lit(BATCH_RUN_CLOCK))
+
+
+def q_validate_odd_good(spark, d):
+    m = _m(spark, d)
+    return V.good_rows(m.validated_batch(faults.order_text_rows(m.t)), "batch", ts_lit(BATCH_RUN_CLOCK))
+
+
+def q_duplicate_raw_order_ids(spark, d):
+    return duplicate_keys(_m(spark, d).order_text_rows, ["order_id"])
+
+
+def q_replay_pending_events(spark, d):
+    """Events to send again: neither landed in the first run nor rejected."""
+    m = _m(spark, d)
+    rows, messages = faults.many_order_messages(m.t)
+    checked = m.validated_messages(messages)
+    landed = checked.where(F.col("error_reason").isNull() & (F.col("event_timestamp") < ts_lit(EVENTS_FIRST_RUN)))
+    errors = V.error_rows(checked, "stream", F.col("arrival_ts"))
+    return pending_rows(rows, landed, errors).select("order_id", "customer_id", "_event_ts")
+
+
+def q_fact_wide_discounts(spark, d):
+    return marts.fact_rows(faults.wide_discounts(_m(spark, d).int_orders_unioned))
+
+
+def q_campaigns_wide_discounts(spark, d):
+    m = _m(spark, d)
+    fact = marts.fact_rows(faults.wide_discounts(m.int_orders_unioned))
+    return REPORTS["campaign_effectiveness"][0](fact, m.dim_campaign)
+
+
+def q_coerce_wide_keys(spark, d):
+    return V.coerce_dimension(faults.wide_product_text_rows(td.Tables(spark, d)), coercion_spec(PRODUCTS))
+
+
+def q_quality_suite_faults(spark, d):
+    return Q.run_suite(faults.broken_star(_m(spark, d)))
+
+
 def _governed(spark, d, policies, masks):
     return G.governed(_m(spark, d).fact_orders, ANALYST, policies, masks)
 
@@ -196,4 +243,12 @@ QUERIES = {
     "row_and_mask_view": q_row_and_mask_view,
     "coerce_dimension": q_coerce_dimension,
     "quality_suite": q_quality_suite,
+    "validate_faults": q_validate_faults,
+    "validate_odd_good": q_validate_odd_good,
+    "duplicate_raw_order_ids": q_duplicate_raw_order_ids,
+    "replay_pending_events": q_replay_pending_events,
+    "fact_wide_discounts": q_fact_wide_discounts,
+    "campaigns_wide_discounts": q_campaigns_wide_discounts,
+    "coerce_wide_keys": q_coerce_wide_keys,
+    "quality_suite_faults": q_quality_suite_faults,
 }

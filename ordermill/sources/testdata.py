@@ -204,8 +204,12 @@ def order_messages(t: Tables) -> DataFrame:
     event_timestamp is the event's ts in the message format; arrival is
     ts + (event_id * 37 % 600) seconds, so some events are too late.
     """
+    return messages_of(order_text_rows(t))
+
+
+def messages_of(rows: DataFrame) -> DataFrame:
+    """Text rows of events as messages."""
     from ordermill.sources.messages import encode_orders
-    rows = order_text_rows(t)
     rows = rows.withColumn("event_timestamp", F.date_format("_event_ts", EVENT_TS_WRITE_FORMAT))
     return encode_orders(rows, extra=["event_timestamp"]).select(
         "value", F.col("_arrival_ts").alias("arrival_ts"), "_pos")
