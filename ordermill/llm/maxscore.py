@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 SHARD, QUERY_BLOCK, STEP = 8192, 4096, 16
 EXACT = float(1 << 53)
+LONGS = float(1 << 63)
 
 
 def quantized(vectors: DataFrame, id_col="vec_id", vec_col="embedding", scale=64) -> DataFrame:
@@ -59,9 +60,8 @@ def _search(cand, ids, query, own, k):
         return np.zeros(0, np.int64), np.zeros(0)
     first = terms[:STEP]
     part = query[first] @ cand[first] - least[first].sum()
-    part[out] = -np.inf
-    seed = np.argpartition(-part, min(k, n) - 1)[:k]
-    seed = seed[part[seed] > -np.inf]
+    others = np.flatnonzero(~out)
+    seed = others[np.argpartition(-part[others], min(k, len(others)) - 1)[:k]]
     full = query @ cand[:, seed]
     threshold = full.min() if len(seed) >= k else -np.inf
     # the essential prefix: what the remaining terms add cannot reach the threshold alone
@@ -83,21 +83,36 @@ def _search(cand, ids, query, own, k):
     return alive[order], score[order]
 
 
+def _search_all(cand, ids, query, own, k):
+    """``_search`` where its bounds would not fit 63 bits: every score in full.  Sums that wrap
+    on the way come out right if the score fits; one that does not is an error, never a wrong rank."""
+    rows = np.flatnonzero(ids != own)
+    size = np.abs(query.astype(np.float64) @ cand[:, rows].astype(np.float64))
+    if size.max(initial=0) >= LONGS * (1 - 1e-9):
+        raise OverflowError(f"a score of query {own} does not fit 63 bits")
+    score = query @ cand[:, rows]
+    order = np.lexsort((ids[rows], -score))[:k]
+    return rows[order], score[order]
+
+
 def _shard(k):
     def run(key, cands, queries):
         out = ([], [], [], [])
         if cands.num_rows and queries.num_rows:
             dims = max(int(np.diff(t.column("v").combine_chunks().offsets.to_numpy()).max()) for t in (cands, queries))
             x, q = _matrix(cands, dims), _matrix(queries, dims)
-            big = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(dims, 1)
+            big = max(dims, 1)
+            for m in (x, q):
+                big *= max(float(m.max(initial=0)), -float(m.min(initial=0)))
             if 4 * big < EXACT:                 # doubles hold these integers exactly, and multiply faster
                 x, q = x.astype(np.float64), q.astype(np.float64)
+            search = _search if 4 * big < LONGS else _search_all
             ids, qids = (t.column("vec_id").to_numpy() for t in (cands, queries))
             qkeys = queries.column("query_key").to_pylist()
             x = np.ascontiguousarray(x.T)
             for row, own, name in zip(q, qids, qkeys):
                 if dims:
-                    at, score = _search(x, ids, row, own, k)
+                    at, score = search(x, ids, row, own, k)
                 else:
                     at = np.flatnonzero(ids != own)
                     at = at[np.argsort(ids[at], kind="stable")][:k]
@@ -117,7 +132,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     Both sides as ``quantized`` returns them.  Shorter vectors count as padded
     with zeros.  Rows that share the query's id are its own and no candidates;
     null ids take no part; repeated candidate rows are candidates each, equal
-    query rows answer once.  Scores are exact while products fit 63 bits."""
+    query rows answer once.  Scores are exact while they fit 63 bits; one that
+    does not fails the query."""
     vectors, queries = (d.where("vec_id is not null") for d in (vectors, queries))
     queries = queries.withColumn("query_key", F.xxhash64("v")).dropDuplicates(["vec_id", "query_key"])
     shards = vectors.count() // SHARD + 1

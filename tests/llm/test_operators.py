@@ -291,3 +291,16 @@ def test_main_text(spark):
     assert got == {(i, f"Unique {i} text & more para {i * 7}") for i in range(10)} | {
         (20, ""), (21, "a b cd e <x> l"), (22, "T one two"), (22, ""), (23, "deep")}
     assert html_main.main_text(frame.limit(0)).count() == 0
+
+
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(6)
+    for size in (1e6, 3e6):                     # products past 2**53, and bounds past 2**63
+        vecs = [(i, [float(x) for x in rng.normal(size=200) * size]) for i in range(60)]
+        v = maxscore.quantized(spark.createDataFrame(vecs, "vec_id long, embedding array<double>"))
+        got = maxscore.top_k(v, v.where("vec_id % 20 = 0"), 5).collect()
+        plain = {r["vec_id"]: list(r["v"]) for r in v.collect()}
+        for q in (0, 20, 40):
+            want = sorted((-sum(a * b for a, b in zip(plain[q], plain[c])), c) for c in plain if c != q)[:5]
+            mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+            assert [(r["score"], r["vec_id"]) for r in mine] == [(-s, c) for s, c in want]
