@@ -32,7 +32,7 @@ STEPS, RATE, RIDGE = 1000, 0.05, 3e-5
 KEEP_SHARE, TAIL_RANGE = 0.995, (0.5, 0.9)
 WORD = re.compile(r"[^\W\d_]+")
 BINS = np.array([0.0005, 0.005, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7])
-CACHE_WORDS = 400_000
+CACHE_WORDS, CACHE_CHARS = 400_000, 200
 
 
 def bucket(name: str) -> int:
@@ -67,7 +67,8 @@ def word_names(word: str) -> list[str]:
 
 
 class Features(dict):
-    """Buckets of each word (only ``wanted`` ones, if given), remembered up to a bound."""
+    """Buckets of each word (only ``wanted`` ones, if given), remembered up to a bound;
+    words longer than ``CACHE_CHARS`` are not."""
 
     def __init__(self, wanted=None):
         super().__init__()
@@ -77,8 +78,18 @@ class Features(dict):
         codes = (bucket(n) for n in names)
         return tuple(codes) if self.wanted is None else tuple(c for c in codes if c in self.wanted)
 
+    def long(self, word) -> set[int]:
+        """Buckets of ``word_names(word)``, in slices that overlap by three letters."""
+        marked, found = "^" + word, set(self.choose([word]))
+        for lo in range(0, len(marked) - 3, CACHE_CHARS):
+            part = marked[lo: lo + CACHE_CHARS + 3]
+            found.update(self.choose({f"4:{part[i:i + 4]}" for i in range(len(part) - 3)}))
+        return found
+
     def __missing__(self, word):
-        codes = self.choose(word_names(word[:200]))
+        if len(word) > CACHE_CHARS:
+            return self.long(word)
+        codes = self.choose(word_names(word))
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = codes

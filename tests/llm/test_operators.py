@@ -304,3 +304,14 @@ def test_top_k_of_large_components(spark):
             want = sorted((-sum(a * b for a, b in zip(plain[q], plain[c])), c) for c in plain if c != q)[:5]
             mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
             assert [(r["score"], r["vec_id"]) for r in mine] == [(-s, c) for s, c in want]
+
+
+def test_features_of_the_whole_word():
+    start = "".join(chr(97 + i * i % 23) for i in range(1000))
+    a, b = start + "toxic", start + "plain"
+    feats = quality.Features()
+    for word in (a, b, a[:200], a[:201], a[:400], a[:203]):
+        want = {quality.bucket(n) for n in quality.word_names(word)}
+        assert set(feats[word]) == want
+    assert set(feats[a]) - {quality.bucket(a)} != set(feats[b]) - {quality.bucket(b)}
+    assert all(len(w) <= quality.CACHE_CHARS for w in feats)
