@@ -24,13 +24,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; of rows
-    with that id one.  Rows without an id cannot be named and stay."""
-    kept = (simhash_dedup.near_copies(docs).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("kept")).distinct())
-    docs = docs.select(*COLUMNS)
-    named = docs.join(kept, docs["doc_id"] == kept["kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """Of each group of near copies one row, with the smallest id and then the smallest
+    hash of the row; rows that share an id but not their text are apart.  Rows without
+    an id cannot be named: of each group one of them stays besides."""
+    docs = docs.select(*COLUMNS).withColumn("row", F.xxhash64(*COLUMNS))
+    kept = simhash_dedup.representatives(docs, "row").select(
+        F.col("doc_id").alias("kept_id"), F.col("row").alias("kept_row"))
+    named = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (docs["row"] == kept["kept_row"])
+    return docs.join(kept, named, "left_semi").dropDuplicates(["doc_id", "row"]).select(*COLUMNS)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,20 +68,23 @@ def majority(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _fingerprints(size):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
+            texts = batch.column("text")
+            carried = [n for n in batch.schema.names if n != "text"]
             for lo in range(0, batch.num_rows, 256):
                 codes = [shingle_codes(t, size) for t in texts.slice(lo, 256).to_pylist()]
                 counts = np.array([len(c) for c in codes], np.int64)
                 flat = np.fromiter(itertools.chain.from_iterable(codes), U64, int(counts.sum()))
-                yield pa.record_batch([ids.slice(lo, 256), pa.array(majority(flat, counts).view(np.int64))],
-                                      names=["doc_id", "fp"])
+                yield pa.record_batch([*(batch.column(n).slice(lo, 256) for n in carried),
+                                       pa.array(majority(flat, counts).view(np.int64))], names=[*carried, "fp"])
     return run
 
 
-def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long).  Fewer words than a shingle
-    make one shingle of them all; no words at all (or null) make zero."""
-    return id_text(docs, id_col, text_col).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE,
+                 row_col: str | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), with ``row_col`` (a long) before fp as ``row``.
+    Fewer words than a shingle make one shingle of them all; no words at all (or null) make zero."""
+    return id_text(docs, id_col, text_col, {"row": row_col} if row_col else None).mapInArrow(
+        _fingerprints(shingle), "doc_id long, " + "row long, " * bool(row_col) + "fp long")
 
 
 # -- bit-sliced comparison --------------------------------------------------
@@ -208,6 +211,16 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             .mapInArrow(_compare(radius), "a long, b long"))
 
 
+def _named(prints: DataFrame, radius: int) -> DataFrame:
+    """fp, root (a fingerprint of its component, the same for all of them), component_id of staged ``prints``."""
+    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
+    root = components(links(distinct.select("fp"), radius))
+    rooted = (distinct.join(root, distinct.fp == root.node, "left")
+              .select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return rooted.join(lowest, "root").select("fp", "root", "component_id")
+
+
 def near_copies(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE,
                 radius=RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable
@@ -217,11 +230,15 @@ def near_copies(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHING
     and link like others.  Rows with a null id take part, but name no
     component (null if a component has no other ids).  Repeated rows stay."""
     prints = staged(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    root = components(links(distinct.select("fp"), radius))
-    rooted = (distinct.join(root, distinct.fp == root.node, "left")
-              .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    return prints.join(_named(prints, radius), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, row_col: str, id_col="doc_id", text_col="text", shingle=SHINGLE,
+                    radius=RADIUS) -> DataFrame:
+    """(doc_id, row): of each component of ``near_copies`` its row with the smallest id, then the
+    smallest ``row_col`` (a long that tells rows of one id apart), and its smallest row without an id."""
+    prints = staged(fingerprints(docs, id_col, text_col, shingle, row_col), "simhash-rows")
+    least = F.min(F.struct("doc_id", "row")).alias("least")
+    return (prints.join(_named(prints, radius).select("fp", "root"), "fp")
+            .groupBy("root", F.col("doc_id").isNull()).agg(least).select("least.doc_id", "least.row"))

@@ -43,3 +43,12 @@ def test_near_copies_keep_rows_without_id(spark):
                                   "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_copies_stage(spark, frame, SF_SMALL).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "3", "None"]
+
+
+def test_near_copies_of_rows_that_share_an_id(spark):
+    texts = {c: " ".join(f"{c}{i * i % 97}" for i in range(40)) for c in "abcd"}
+    rows = [(5, "a"), (5, "b"), (5, "b"), (2, "b"), (7, "a"), (7, "c"), (None, "d"), (None, "d")]
+    frame = spark.createDataFrame([(i, texts[t], "en", "s", 1) for i, t in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_copies_stage(spark, frame, SF_SMALL).collect()
+    assert sorted(((r["doc_id"], r["text"][0]) for r in kept), key=str) == [(2, "b"), (5, "a"), (7, "c"), (None, "d")]
