@@ -51,7 +51,11 @@ NOISE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share comment "
     "comments consent cookie cookies disclaimer disqus footer header menu modal nav navbar navigation newsletter notice "
     "notices pager pagination popup promo promos promotion related replies respond share sharing sidebar social sponsor "
-    "sponsored subscribe toolbar topbar widget widgets".split())
+    "sponsored subscribe toolbar topbar widget widgets "
+    # compounds are names of their own: a part of a name says nothing
+    "ad-banner ad-slot ad-container cookie-banner cookie-notice cookie-bar main-menu main-nav nav-bar nav-menu "
+    "page-footer page-header related-posts share-bar share-buttons side-bar site-footer site-header site-nav "
+    "social-links social-share top-bar".split())
 SAME_LEVEL = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"},
               "tr": {"table", "tbody", "thead"}, "option": {"select"}}
 HEAD_END = re.compile(r"</head\s*>|<body\b", re.I)
@@ -79,7 +83,7 @@ def _is_noise(tag, attrs, inside):
         if name.lower() == "role":
             if value in NOISE_ROLES:
                 return True
-        elif tag not in ("html", "body", "main") and any(w in NOISE_WORDS for w in re.split(r"[\s_-]+", value)):
+        elif tag not in ("html", "body", "main") and not NOISE_WORDS.isdisjoint(value.split()):
             return True
     return False
 

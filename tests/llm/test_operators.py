@@ -331,3 +331,19 @@ def test_main_text_by_importance(spark):
     assert got == {**{i: f"Title {i} body {i * 31}" for i in range(12)},
                    **{100 + i: f"real {i} text more {i * 3} story {i}" for i in range(12)},
                    200: "see also the long and only real text of this page"}
+
+
+def test_main_text_with_compound_names(spark):
+    def page(i):
+        return (f"<html><body><nav><a>Home</a></nav><article class='post comments-open'><header class='entry-header'><h1>Title {i}"
+                f"</h1></header><p class=lead>Subscribe to us<p>body {i * 31}<p>All rights kept<h2 class=k>Read on</h2>"
+                f"<p><span class=ad>buy</span></article></body></html>")
+    rows = [(i, f"http://a.com/{i}", page(i)) for i in range(12)]
+    rows += [(100 + i, f"http://b.com/{i}", f"<main>Teaser of the day</main><div class='content with-sidebar'><p>real {i} text"
+              f"<p>more {i * 3}</div><div id=page-header-wrap>story {i}</div>") for i in range(12)]
+    rows += [(200, "http://c.com", "<article>see also</article><div>the long and only real text of this page</div>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_main.main_text(frame).collect()}
+    assert got == {**{i: f"Title {i} body {i * 31}" for i in range(12)},
+                   **{100 + i: f"real {i} text more {i * 3} story {i}" for i in range(12)},
+                   200: "see also the long and only real text of this page"}
