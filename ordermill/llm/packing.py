@@ -26,7 +26,6 @@ from ordermill.llm.common import id_text
 
 WINDOW, END_ID = 4096, 2
 SHARD_DOCS = 1200               # documents per shard; none sends it more than a window of ids
-QUERY_TERMS = 16                # rarest distinct terms of a seed that ask the index
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 900_000, 32
 TOKENIZER = "word_bpe_49k.json"
@@ -127,7 +126,7 @@ _NAMES = ["shard", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"
 
 
 class Index:
-    """Inverted index of a shard's remainders; document-term weights are final BM25 parts."""
+    """Index of a shard's remainders; document-term weights are final BM25 parts."""
 
     def __init__(self, ids):
         size = np.array([len(x) // 2 for x in ids], np.int64)
@@ -139,24 +138,22 @@ class Index:
         tf = np.diff(np.r_[first, len(key)]).astype(np.float32)
         key = key[first]
         term = (key >> np.uint64(40)).astype(np.int64)
-        self.doc = (key & np.uint64((1 << 40) - 1)).astype(np.int64)
-        self.start = np.searchsorted(term, np.arange((1 << 16) + 1))
-        df = np.diff(self.start)
-        self.idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5)).astype(np.float32)
+        doc = (key & np.uint64((1 << 40) - 1)).astype(np.int64)
+        df = np.bincount(term, minlength=1 << 16)
+        idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5)).astype(np.float32)
         norm = K1 * (1 - B + B * size / max(size.mean(), 1) if len(size) else 1)
-        self.weight = self.idf[term] * tf * (K1 + 1) / (tf + np.asarray(norm, np.float32)[self.doc])
-        self.df, self.n = df, len(ids)
+        weight = idf[term] * tf * (K1 + 1) / (tf + np.asarray(norm, np.float32)[doc])
+        # a seed asks by all its terms, so documents are summed whole: the lists document by document
+        order = np.argsort(doc, kind="stable")
+        self.term, self.weight = term[order], weight[order]
+        self.start = np.searchsorted(doc[order], np.arange(len(ids)))
 
     def neighbours(self, ids: bytes, free: np.ndarray) -> np.ndarray:
-        """Free documents sharing a query term, best score first, ties to the earlier one."""
-        terms = np.unique(np.frombuffer(ids, "<u2"))
-        terms = terms[self.df[terms] > 1]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(self.df[terms], kind="stable")[:QUERY_TERMS]]
-        score = np.zeros(self.n, np.float32)
-        for t in terms:
-            a, b = self.start[t], self.start[t + 1]
-            score[self.doc[a:b]] += self.weight[a:b]
+        """Free documents sharing a term (the end mark, last in ``ids``, is none), best score
+        first, ties to the earlier one."""
+        ask = np.zeros(1 << 16, np.float32)
+        ask[np.frombuffer(ids, "<u2")[:-1]] = 1
+        score = np.add.reduceat(ask[self.term] * self.weight, self.start)
         hit = np.flatnonzero((score > 0) & free)
         return hit[np.argsort(-score[hit], kind="stable")]
 

@@ -347,3 +347,12 @@ def test_main_text_with_compound_names(spark):
     assert got == {**{i: f"Title {i} body {i * 31}" for i in range(12)},
                    **{100 + i: f"real {i} text more {i * 3} story {i}" for i in range(12)},
                    200: "see also the long and only real text of this page"}
+
+
+def test_seed_asks_by_all_its_terms():
+    rare = list(range(100, 140))                # as rare as each other, so sixteen of them are not all
+    docs = [rare, rare[:17] + [7], rare[17:] + [8], [9]]
+    ids = [np.array(d + [packing.END_ID], "<u2").tobytes() for d in docs]
+    index = packing.Index(ids)
+    assert index.neighbours(ids[0], np.array([False, True, True, True])).tolist() == [2, 1]
+    assert index.neighbours(ids[3], np.array([True, True, True, False])).tolist() == []
