@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import (html_main, maxscore, minhash, packing, pii, piece_scan, quality, sharding,
-                           simhash_dedup, suffix_dedup)
+from ordermill.llm import (active_lloyd, contamination, html_main, maxscore, minhash, packing, pii, piece_scan,
+                           quality, sharding, simhash_dedup, suffix_dedup, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,11 +64,74 @@ def op10_simhash(spark, sf_dir):
     return simhash_dedup.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_codes(spark, sf_dir):
+    coded, books = active_lloyd.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error",
+                        F.lit(active_lloyd.book_sha256(books)).alias("codebooks_sha256"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_contamination(spark, sf_dir):
+    found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html, op2_minhash, op3_packing, op4_shards, op5_repeats, op6_pieces, op7_quality, op8_maxscore, op9_pii,
-    op10_simhash)}
+    op10_simhash, op11_codes, op12_whitening, op13_contamination)}
+
+
+
+def _lloyd_sql(rounds: int = 4) -> str:
+    """Full rescans in every round."""
+    steps = ["""r AS (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+        list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             "x AS MATERIALIZED (SELECT rid, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS v FROM r, range(4) t(p))",
+             "b0 AS (SELECT p, rid - 1 AS e, v AS c FROM x WHERE rid <= 256)"]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT rid, x.p, any_value(v) AS v,
+        min((list_inner_product(v::DOUBLE[], v::DOUBLE[]) - 2 * list_inner_product(v::DOUBLE[], c::DOUBLE[])
+            + list_inner_product(c::DOUBLE[], c::DOUBLE[]))::BIGINT * 256 + e) AS m
+      FROM x JOIN b{k} USING (p) GROUP BY rid, x.p)""")
+        if k < rounds:
+            steps += [f"""s{k} AS (SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT p, m % 256 AS e, unnest(v) AS x, unnest(range(len(v))) AS i FROM a{k}) GROUP BY p, e, i)""",
+                      f"""n{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{k} GROUP BY p, e)""",
+                      f"b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(n{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN n{k} USING (p, e))"]
+    return "WITH " + ",\n".join(steps) + f""",
+h AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+      FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM b{rounds})),
+f AS (SELECT rid, string_agg(printf('%02x', (m % 256)::INTEGER), '' ORDER BY p) AS code, sum(m // 256)::BIGINT AS error
+      FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM r JOIN f USING (rid), h"""
+
 
 ORACLE_SQL = {
+    "op11_codes": _lloyd_sql(),
+    "op13_contamination": """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+s AS (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+v AS (SELECT DISTINCT item_id, size, array_to_string(w[p + 1 : p + size], ' ') AS win
+      FROM (SELECT *, unnest(range(len(w) - size + 1)) AS p FROM s)),
+z AS (SELECT DISTINCT size FROM s),
+o AS (SELECT doc_id, size, p, array_to_string(w[p + 1 : p + size], ' ') AS win
+      FROM (SELECT doc_id, w, size, unnest(range(len(w) - size + 1)) AS p FROM d JOIN z ON len(w) >= size)),
+m AS (SELECT DISTINCT doc_id, p, size, win FROM o SEMI JOIN v USING (size, win)),
+h AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS i FROM m) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m JOIN v USING (size, win)) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)""",
     "op4_shards": """
 WITH steps AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),

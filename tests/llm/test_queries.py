@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in want.description]
