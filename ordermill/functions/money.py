@@ -1,11 +1,13 @@
 """Money and ratio arithmetic.
 
 Money is stored as double, as in the raw tables.  A row's revenue is the
-double formula, rounded half away from zero by fixed IEEE steps.  Sums do not
-depend on summation order: they are DECIMAL sums of cents; averages and
-ratios are rounded once, by integer half-up division of such sums.
+double formula, rounded half away from zero by fixed IEEE steps.  Sums and
+averages of doubles are in ``functions.exact``; ratios of whole numbers are
+rounded once here, by integer half-up division.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,14 +32,9 @@ def units(c, scale: int) -> Column:
     return F.round(_col(c) * (10 ** scale), 0).cast("decimal(20,0)")
 
 
-def sum_units(c, scale: int) -> Column:
-    """Exact sum of a column with at most `scale` decimals, as double."""
-    return (F.sum(units(c, scale)) / (10 ** scale)).cast("double")
-
-
 def avg_round(c, digits: int) -> Column:
-    """round(avg(c), digits): values summed with six digits more than the
-    result has, rounded once."""
+    """round(avg(c), digits) as a plain aggregate, for values with at most six
+    decimals more than the result: other doubles go through ``functions.exact``."""
     s = F.sum(units(c, digits + 6))
     n = F.count(_col(c)).cast("decimal(20,0)") * F.lit(10 ** 6).cast("decimal(7,0)")
     return (_round_div(s, n) / (10 ** digits)).cast("double")
@@ -45,7 +42,7 @@ def avg_round(c, digits: int) -> Column:
 
 def ratio_round(num: Column, den: Column, digits: int, factor: int = 1) -> Column:
     """round(num / den * factor, digits) for integral num, den (den > 0)."""
-    n = (num.cast("decimal(20,0)") * (factor * 10 ** digits))
+    n = (num.cast("decimal(38,0)") * F.lit(Decimal(factor * 10 ** digits))).cast("decimal(38,0)")
     return (_round_div(n, den.cast("decimal(20,0)")) / (10 ** digits)).cast("double")
 
 

@@ -48,12 +48,44 @@ _X = "(CAST(quantity AS DOUBLE) * unit_price * (1.0::DOUBLE - discount / 100.0::
 REVENUE = f"CASE WHEN abs({_X}) < 1e13 THEN sign({_X}) * floor(abs({_X}) * 100 + 0.5) / 100 ELSE {_X} END"
 
 
-def units(c: str, k: int) -> str:
-    return f"CAST(ROUND({c} * {10 ** k}, 0) AS DECIMAL(20,0))"
-
-
-def sum_units(c: str, k: int = 2) -> str:
-    return f"CAST(SUM({units(c, k)}) AS DOUBLE) / {10 ** k}"
+P70 = f"CAST({2 ** 70} AS HUGEINT)"
+
+
+def _exact(c: str, k: int, n: str) -> str:
+    """round(sum / n, k) over the exact sum: whole parts and 2^-70ths add up as integers
+    (enough for values of at least 2^-18, or 0), NaN and the infinities apart."""
+    i = f"SUM(CASE WHEN isfinite({c}) THEN CAST(trunc({c}) AS HUGEINT) END)"
+    f = f"SUM(CASE WHEN isfinite({c}) THEN CAST(({c} - trunc({c})) * {2.0 ** 70!r} AS HUGEINT) END)"
+    bad = f"""CASE WHEN bool_or(isnan({c})) OR (bool_or({c} = 'inf'::DOUBLE) AND bool_or({c} = '-inf'::DOUBLE)) THEN 'nan'::DOUBLE
+      WHEN bool_or({c} = 'inf'::DOUBLE) THEN 'inf'::DOUBLE WHEN bool_or({c} = '-inf'::DOUBLE) THEN '-inf'::DOUBLE END"""
+    sums = f"{{'i': {i}, 'f': {f}, 'n': CAST({n} AS HUGEINT), 'bad': {bad}}}"
+    rest = f"((x.f % {P70} + {P70}) % {P70})"
+    floor = f"(x.i + (x.f - {rest}) // {P70})"
+    size = (f"{{'a': CASE WHEN x.w >= 0 THEN x.w WHEN x.r > 0 THEN -x.w - 1 ELSE -x.w END, "
+            f"'b': CASE WHEN x.w >= 0 OR x.r = 0 THEN x.r ELSE {P70} - x.r END, 'n': x.n, 'minus': x.w < 0}}")
+    two = 2 * 10 ** k
+    units = f"((x.a * {two} + x.n + (x.b * {two}) // {P70}) // (2 * x.n))"
+    top = "(x.a // x.n)"
+    more = "(x.a % x.n <> 0 OR x.b > 0)"
+    big = "CASE " + " ".join(
+        f"WHEN {top} < CAST({2 ** (61 + d)} AS HUGEINT) THEN CAST(CAST(2 * ({top} // {2 ** d}) + CAST({more} "
+        f"OR {top} % {2 ** d} <> 0 AS INT) AS BIGINT) AS DOUBLE) * {2 ** d} / 2" for d in (0, 8, 16, 24)) + " END"
+    value = (f"CASE WHEN {top} >= CAST({2 ** 54} AS HUGEINT) THEN {big} "
+             f"ELSE CAST({units} // {10 ** k} || '.' || lpad(CAST({units} % {10 ** k} AS VARCHAR), {k}, '0') AS DOUBLE) END")
+
+    def bind(of: str, use: str) -> str:
+        return f"list_transform([{of}], lambda x: {use})[1]"
+    signed = bind(size, f"CASE WHEN x.minus THEN -({value}) ELSE {value} END")
+    whole = bind(f"{{'w': {floor}, 'r': {rest}, 'n': x.n}}", signed)
+    return bind(sums, f"CASE WHEN x.bad IS NOT NULL THEN x.bad WHEN x.n > 0 AND x.i IS NOT NULL THEN {whole} END")
+
+
+def sum_exact(c: str, k: int = 2) -> str:
+    return _exact(c, k, "CASE WHEN COUNT(" + c + ") > 0 THEN 1 END")
+
+
+def avg_exact(c: str, k: int) -> str:
+    return _exact(c, k, f"COUNT({c})")
 
 
 def round_div(num: str, den: str) -> str:
@@ -62,11 +94,6 @@ def round_div(num: str, den: str) -> str:
             f"ELSE -((-2 * {n} + {d}) // (2 * {d})) END)")
 
 
-def avg_round(c: str, k: int) -> str:
-    s = f"CAST(SUM({units(c, k + 6)}) AS HUGEINT)"
-    return f"CAST({round_div(s, f'(CAST(COUNT({c}) AS HUGEINT) * 1000000)')} AS DOUBLE) / {10 ** k}"
-
-
 def ratio_round(num: str, den: str, k: int, factor: int) -> str:
     n = f"CAST({num} AS HUGEINT) * {factor * 10 ** k}"
     return f"CAST({round_div(n, f'CAST({den} AS HUGEINT)')} AS DOUBLE) / {10 ** k}"
@@ -340,6 +367,15 @@ FAULTY_TEXT = """SELECT * REPLACE (
        ELSE quantity END AS quantity) FROM ev_text"""
 WIDE = """SELECT * REPLACE (discount + CASE WHEN product_id % 50 = 7 THEN CAST(0.123456 AS DOUBLE)
   WHEN product_id % 97 = 11 THEN CAST(1000.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS discount) FROM int_orders"""
+ODD_PRICES = """SELECT * REPLACE (CASE
+  WHEN warehouse_region = 'AMERICA' AND product_id % 20 = 3 THEN CAST(1e18 AS DOUBLE)
+  WHEN warehouse_region = 'AMERICA' AND product_id % 20 = 4 THEN CAST(-1e18 AS DOUBLE)
+  WHEN warehouse_region = 'AFRICA' AND product_id % 100 = 5 THEN CAST(1e13 AS DOUBLE)
+  WHEN warehouse_region = 'ASIA' AND product_id % 50 = 7 THEN CAST('nan' AS DOUBLE)
+  WHEN warehouse_region IN ('EUROPE', 'ASIA') AND product_id % 50 = 9 THEN CAST('inf' AS DOUBLE)
+  WHEN warehouse_region = 'MIDDLE EAST' AND product_id % 50 = 11 THEN CAST('-inf' AS DOUBLE)
+  WHEN warehouse_region = 'MIDDLE EAST' AND customer_id % 2 = 0 AND product_id % 50 = 12 THEN CAST('inf' AS DOUBLE)
+  ELSE unit_price END AS unit_price) FROM int_orders"""
 MANY_IDS = "SELECT * REPLACE (order_id || '-' || CAST(_pos % 500 AS VARCHAR) AS order_id) FROM ev_text"
 
 
@@ -365,6 +401,19 @@ FROM part) p) WHERE product_id IS NOT NULL"""
 _AS_OF = f"DATE '{AS_OF.isoformat()}'"
 _GOOD_BATCH = good_batch("v_batch WHERE error_reason IS NULL", BATCH_RUN_CLOCK)
 
+def _sales_summary(fact_p: str) -> str:
+    return f"""SELECT category, warehouse_region, COUNT(DISTINCT order_id) AS total_orders,
+  {sum_exact('revenue')} AS total_revenue, {avg_exact('revenue', 2)} AS avg_order_value,
+  {ratio_round('SUM(returned_flag)', 'COUNT(*)', 2, 100)} AS return_rate_pct,
+  {ratio_round('SUM(delivery_days)', 'COUNT(delivery_days)', 1, 1)} AS avg_delivery_days
+FROM {fact_p} GROUP BY category, warehouse_region"""
+
+
+def _over_time(fact: str) -> str:
+    return f"""SELECT order_date, COUNT(DISTINCT order_id) AS order_count,
+  {sum_exact('revenue')} AS total_revenue FROM {fact} GROUP BY order_date"""
+
+
 BODIES = {
     "stg_orders_batch": "SELECT * FROM stg_batch",
     "stg_orders_stream": "SELECT * FROM stg_stream",
@@ -380,37 +429,32 @@ BODIES = {
     "fact_orders_incremental": """SELECT * FROM first_fact f WHERE NOT EXISTS
   (SELECT 1 FROM inc_new n WHERE n.order_id = f.order_id)
 UNION ALL SELECT * FROM inc_new""",
-    "rpt_sales_summary": f"""SELECT category, warehouse_region, COUNT(DISTINCT order_id) AS total_orders,
-  {sum_units('revenue')} AS total_revenue, {avg_round('revenue', 2)} AS avg_order_value,
-  {ratio_round('SUM(returned_flag)', 'COUNT(*)', 2, 100)} AS return_rate_pct,
-  {avg_round('delivery_days', 1)} AS avg_delivery_days
-FROM fact_p GROUP BY category, warehouse_region""",
+    "rpt_sales_summary": _sales_summary("fact_p"),
     "revenue_by_category_90d": f"""SELECT category, COUNT(DISTINCT order_id) AS order_count,
-  {sum_units('revenue')} AS total_revenue FROM fact_p
+  {sum_exact('revenue')} AS total_revenue FROM fact_p
 WHERE order_date >= CAST({_AS_OF} - INTERVAL 90 DAY AS DATE) GROUP BY category ORDER BY total_revenue DESC""",
     "top_customers": f"""SELECT c.customer_name, c.membership_type, COUNT(DISTINCT f.order_id) AS order_count,
-  {sum_units('f.revenue')} AS lifetime_revenue
+  {sum_exact('f.revenue')} AS lifetime_revenue
 FROM fact f JOIN dim_customer c ON f.customer_key = c.customer_key
 GROUP BY c.customer_name, c.membership_type
 ORDER BY lifetime_revenue DESC, c.customer_name, c.membership_type LIMIT 10""",
     "campaign_effectiveness": f"""SELECT COALESCE(c.campaign_name, 'No Campaign (Organic)') AS campaign_name,
-  COUNT(DISTINCT f.order_id) AS order_count, {sum_units('f.revenue')} AS total_revenue,
-  {avg_round('f.discount', 2)} AS avg_discount_pct
+  COUNT(DISTINCT f.order_id) AS order_count, {sum_exact('f.revenue')} AS total_revenue,
+  {avg_exact('f.discount', 2)} AS avg_discount_pct
 FROM fact f LEFT JOIN dim_campaign c ON f.campaign_key = c.campaign_key
 GROUP BY COALESCE(c.campaign_name, 'No Campaign (Organic)') ORDER BY total_revenue DESC""",
     "return_rate_by_region": f"""SELECT warehouse_region, COUNT(*) AS total_orders,
   CAST(SUM(returned_flag) AS BIGINT) AS returned_orders,
   {ratio_round('SUM(returned_flag)', 'COUNT(*)', 2, 100)} AS return_rate_pct
 FROM fact GROUP BY warehouse_region ORDER BY return_rate_pct DESC""",
-    "source_volume": f"""SELECT source_system, COUNT(*) AS order_count, {sum_units('revenue')} AS total_revenue
+    "source_volume": f"""SELECT source_system, COUNT(*) AS order_count, {sum_exact('revenue')} AS total_revenue
 FROM fact GROUP BY source_system""",
-    "kpi_scorecard": f"""SELECT {sum_units('revenue')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders,
-  {avg_round('delivery_days', 1)} AS avg_delivery_days, {avg_round('revenue', 2)} AS avg_order_value FROM fact_p""",
-    "revenue_over_time": f"""SELECT order_date, COUNT(DISTINCT order_id) AS order_count,
-  {sum_units('revenue')} AS total_revenue FROM fact GROUP BY order_date ORDER BY order_date""",
+    "kpi_scorecard": f"""SELECT {sum_exact('revenue')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders,
+  {ratio_round('SUM(delivery_days)', 'COUNT(delivery_days)', 1, 1)} AS avg_delivery_days, {avg_exact('revenue', 2)} AS avg_order_value FROM fact_p""",
+    "revenue_over_time": _over_time("fact"),
     "orders_by_category": "SELECT category, COUNT(DISTINCT order_id) AS total_orders FROM fact_p GROUP BY category",
     "revenue_by_category": f"""SELECT category, COUNT(DISTINCT order_id) AS order_count,
-  {sum_units('revenue')} AS total_revenue FROM fact_p GROUP BY category""",
+  {sum_exact('revenue')} AS total_revenue FROM fact_p GROUP BY category""",
     "table_counts": _counts([("orders_batch", "raw_orders_batch"), ("orders_stream", "raw_orders_stream"),
                              ("orders_batch_errors", "batch_errors"), ("orders_stream_errors", "stream_errors"),
                              ("customers", "raw_customers"), ("products", "raw_products"),
@@ -467,9 +511,11 @@ WHERE order_id NOT IN (SELECT order_id FROM v_many WHERE error_reason IS NOT NUL
   OR __t_event_timestamp < {ts(EVENTS_FIRST_RUN)})""",
     "fact_wide_discounts": "SELECT * FROM wide_fact",
     "campaigns_wide_discounts": f"""SELECT COALESCE(c.campaign_name, 'No Campaign (Organic)') AS campaign_name,
-  COUNT(DISTINCT f.order_id) AS order_count, {sum_units('f.revenue')} AS total_revenue,
-  {avg_round('f.discount', 2)} AS avg_discount_pct
+  COUNT(DISTINCT f.order_id) AS order_count, {sum_exact('f.revenue')} AS total_revenue,
+  {avg_exact('f.discount', 2)} AS avg_discount_pct
 FROM wide_fact f LEFT JOIN dim_campaign c ON f.campaign_key = c.campaign_key GROUP BY 1""",
+    "sales_summary_odd_prices": _sales_summary("(SELECT f.*, p.category FROM odd_fact f JOIN dim_product p USING (product_key))"),
+    "revenue_over_time_odd_prices": _over_time("odd_fact"),
     "coerce_wide_keys": _products("""CASE WHEN p_partkey % 11 = 4 THEN CAST(p_partkey + 9007199254740992 AS VARCHAR)
   WHEN p_partkey % 13 = 5 THEN CAST(p_partkey AS VARCHAR) || '.0' ELSE CAST(p_partkey AS VARCHAR) END"""),
     "quality_suite_faults": _quality({"fact_orders": "b_fact", "dim_customer": "b_customer", "dim_product": "b_product",
@@ -478,6 +524,7 @@ FROM wide_fact f LEFT JOIN dim_campaign c ON f.campaign_key = c.campaign_key GRO
 
 CTES |= BROKEN | {
     "wide_orders": WIDE, "wide_fact": fact("wide_orders"),
+    "odd_orders": ODD_PRICES, "odd_fact": fact("odd_orders"),
     "ev_faulty": FAULTY_TEXT, "v_faulty": validated("ev_faulty", stream=False),
     "ev_many": MANY_IDS, "v_many": validated("ev_many", stream=True),
 }

@@ -172,6 +172,16 @@ def q_campaigns_wide_discounts(spark, d):
     return REPORTS["campaign_effectiveness"][0](fact, m.dim_campaign)
 
 
+def _odd_prices(name):
+    """A report over orders with huge, NaN and infinite prices."""
+    fn, dims = REPORTS[name]
+
+    def run(spark, d):
+        m = _m(spark, d)
+        return fn(marts.fact_rows(faults.odd_prices(m.int_orders_unioned)), *[getattr(m, x) for x in dims])
+    return run
+
+
 def q_coerce_wide_keys(spark, d):
     return V.coerce_dimension(faults.wide_product_text_rows(td.Tables(spark, d)), coercion_spec(PRODUCTS))
 
@@ -249,6 +259,8 @@ QUERIES = {
     "replay_pending_events": q_replay_pending_events,
     "fact_wide_discounts": q_fact_wide_discounts,
     "campaigns_wide_discounts": q_campaigns_wide_discounts,
+    "sales_summary_odd_prices": _odd_prices("rpt_sales_summary"),
+    "revenue_over_time_odd_prices": _odd_prices("revenue_over_time"),
     "coerce_wide_keys": q_coerce_wide_keys,
     "quality_suite_faults": q_quality_suite_faults,
 }

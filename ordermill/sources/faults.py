@@ -52,6 +52,23 @@ def wide_discounts(orders: DataFrame) -> DataFrame:
     return orders.withColumn("discount", F.col("discount") + extra)
 
 
+def odd_prices(orders: DataFrame) -> DataFrame:
+    """Orders with prices that validation accepts and sums must survive: huge of
+    either sign, NaN and infinite, per region, so that groups of each kind and clean groups occur."""
+    region, p, c = F.col("warehouse_region"), F.col("product_id"), F.col("customer_id")
+
+    def price(text):
+        return F.lit(text).cast("double")
+    odd = (F.when((region == "AMERICA") & (p % 20 == 3), price("1e18"))
+           .when((region == "AMERICA") & (p % 20 == 4), price("-1e18"))
+           .when((region == "AFRICA") & (p % 100 == 5), price("1e13"))
+           .when((region == "ASIA") & (p % 50 == 7), price("NaN"))
+           .when(region.isin("EUROPE", "ASIA") & (p % 50 == 9), price("Infinity"))
+           .when((region == "MIDDLE EAST") & (p % 50 == 11), price("-Infinity"))
+           .when((region == "MIDDLE EAST") & (c % 2 == 0) & (p % 50 == 12), price("Infinity")))
+    return orders.withColumn("unit_price", F.when(odd.isNotNull(), odd).otherwise(F.col("unit_price")))
+
+
 def wide_product_text_rows(t: td.Tables) -> DataFrame:
     """Product text rows, every eleventh with a key above 2^53, some with a
     key written as a float."""
