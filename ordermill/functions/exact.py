@@ -1,160 +1,154 @@
 """Exact sums of doubles.
 
 Every double is a whole number times a power of two.  A value x is put into
-the exponent bin b with |x| in about [2^(27 b), 2^(27 (b + 1))) and written as
+the exponent bin b with |x| in about [2^(21 b), 2^(21 (b + 1))) and written as
 
-    x = (p3 * 2^63 + p2 * 2^42 + p1 * 2^21 + p0) * 2^(27 (b - 2))
+    x = (p3 * 2^63 + p2 * 2^42 + p1 * 2^21 + p0) * 2^(21 (b - 3))
 
-with whole parts below 2^21 in size.  The parts of a bin add up as longs, in
-any order and with partial sums, without rounding (up to 2^42 rows a group; an
-overflow beyond fails the job).  NaN and the infinities have bins of their own.
+with whole parts of 21 bits (p3 may have 22).  The parts of a bin add up as
+longs, in any order and with partial sums, without rounding (up to 2^40 rows a
+group; an overflow beyond fails the job).  NaN and the infinities have bins of
+their own.
 
-The bins of a group (at most 80) are then one long number: carries run through
-digits of 27 bits, and the sum or average is rounded once.  Results below 2^54
-in size are rounded half away from zero to the decimals asked for; larger ones
-have no decimals as doubles and are the nearest double of the exact value.
-A NaN, or both infinities, make NaN; one infinity makes that infinity.
+The bins of a group (at most 100) are then one long number: carries run
+through digits of 21 bits, and the sum or average is rounded once.  Results
+below 2^54 in size are rounded half away from zero to the decimals asked for;
+larger ones have no decimals as doubles and are the nearest double of the
+exact value.  A NaN, or both infinities, make NaN; one infinity makes that
+infinity.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDTH = 27
+WIDTH = 21
 MASK = (1 << WIDTH) - 1
 NAN, PLUS, MINUS = 1000, 1001, 1002        # the bins of what is not finite
 PARTS = ("p3", "p2", "p1", "p0")
-WHOLE = "decimal(38,0)"
 
+# The expressions are SQL texts over column names: as one text each they reach
+# the JVM in one call, where composing columns takes thousands.
+_names = count()
+_DIGITS = "CAST(array() AS ARRAY<BIGINT>)"
 
-def _whole(v) -> Column:
-    return (F.lit(Decimal(v)) if isinstance(v, int) else v).cast(WHOLE)
 
-
-def exponent_bin(x: Column) -> Column:
+def exponent_bin(x: str) -> str:
     """The bin of a double; null for null."""
-    power = F.floor(F.log2(F.abs(x)) / WIDTH).cast("int")
-    return (F.when(F.isnan(x), NAN).when(x == float("inf"), PLUS).when(x == float("-inf"), MINUS)
-            .when(x == 0, 0).when(x.isNotNull(), power))
+    return (f"CASE WHEN isnan({x}) THEN {NAN} WHEN {x} = double('inf') THEN {PLUS} WHEN {x} = double('-inf') THEN {MINUS} "
+            f"WHEN {x} = 0 THEN 0 WHEN {x} IS NOT NULL THEN CAST(floor(log2(abs({x})) / {WIDTH}) AS INT) END")
+
 
+def scaled(x: str, b: str) -> str:
+    """x * 2^(-21 bin), exact (in two steps, as 2^(21 * 50) is no double)."""
+    half = f"floor({b} / 2)"
+    return (f"CASE WHEN {b} < {NAN} AND {x} <> 0 THEN {x} * pow(2D, {half} * -{WIDTH}) * pow(2D, ({b} - {half}) * -{WIDTH}) "
+            f"ELSE 0D END")
 
-def scaled(x: Column, bin_: Column) -> Column:
-    """x * 2^(-27 bin), exact (in two steps, as 2^(27 * 40) is no double)."""
-    half = F.floor(bin_ / 2)
-    return F.when((bin_ < NAN) & (x != 0), x * F.pow(F.lit(2.0), half * -WIDTH)
-                  * F.pow(F.lit(2.0), (bin_ - half) * -WIDTH)).otherwise(F.lit(0.0))
 
+def parts(y: str, r: str) -> list[str]:
+    """p3, p2, p1, p0 of a scaled value y and its fraction r = y - floor(y), as longs."""
+    q2, q1 = f"floor({r} * {1 << 21}D)", f"floor({r} * {1 << 42}D)"
+    return [f"floor({y})", q2, f"{q1} - {q2} * {1 << 21}", f"CAST(({r} * {1 << 42}D - CAST({q1} AS DOUBLE)) * {1 << 21}D AS BIGINT)"]
 
-def parts(y: Column) -> list[Column]:
-    """p3, p2, p1, p0 of a scaled value, as longs."""
-    q3, q2, q1 = (F.floor(y * 2.0 ** k) for k in (-9, 12, 33))
-    step = F.lit(1 << 21)
-    return [q3, q2 - q3 * step, q1 - q2 * step, ((y * 2.0 ** 33 - q1.cast("double")) * 2.0 ** 21).cast("long")]
 
+def _whole(x) -> str:
+    return f"CAST({x} AS DECIMAL(38,0))"
 
-def _bind(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
 
+def _bind(value: str, use) -> str:
+    """``use(name)`` with the value computed once under that name."""
+    v = f"v{next(_names)}"
+    return f"get(transform(array({value}), {v} -> {use(v)}), 0)"
 
-def _digits(bins: Column, lo: Column, hi: Column, sign: int) -> Column:
-    """carry (-1 when the number is negative) and its digits of 27 bits, lowest first."""
-    number = F.map_from_entries(F.transform(bins, lambda e: F.struct((e["b"] - 2).alias("k"), sum(
-        (_whole(e[p]) * _whole(1 << 21 * i) for i, p in enumerate(reversed(PARTS[:-1]), 1)), _whole(e["p0"]))
-        .cast(WHOLE).alias("m"))))
 
-    def add(acc, k):
-        t = (F.coalesce(F.try_element_at(number, k), _whole(0)) * sign).cast(WHOLE) + acc["carry"]
+def _digits(bins: str, lo: str, hi: str, sign: int) -> str:
+    """carry (-1 when the number is negative) and its digits of 21 bits, lowest first."""
+    p3, p2, p1, p0 = (f"({sign} * e.{p})" for p in PARTS)
+    low, high = "({} & %dL)" % MASK, "shiftright({}, %d)" % WIDTH
+    place = (f"CASE e.b - k WHEN 3 THEN {low.format(p0)} WHEN 2 THEN {low.format(p1)} + {high.format(p0)} "
+             f"WHEN 1 THEN {low.format(p2)} + {high.format(p1)} WHEN 0 THEN {low.format(p3)} + {high.format(p2)} "
+             f"WHEN -1 THEN {high.format(p3)} ELSE 0L END")
 
-        def cut(t):
-            digit = F.pmod(t, _whole(1 << WIDTH))
-            return F.struct(((t - digit) / F.lit(Decimal(1 << WIDTH))).cast(WHOLE).alias("carry"),
-                            F.concat(acc["digits"], F.array(digit.cast("long"))).alias("digits"))
-        return _bind(t.cast(WHOLE), cut)
-    return F.aggregate(F.sequence(lo, hi), F.struct(_whole(0).alias("carry"), F.array().cast("array<long>").alias("digits")), add)
+    def cut(t):
+        return f"named_struct('carry', shiftright({t}, {WIDTH}), 'digits', concat(acc.digits, array({t} & {MASK}L)))"
+    t = f"aggregate({bins}, acc.carry, (s, e) -> s + {place})"
+    return f"aggregate(sequence({lo}, {hi}), named_struct('carry', 0L, 'digits', {_DIGITS}), (acc, k) -> {_bind(t, cut)})"
 
 
-def _scaled_digits(digits: Column, lo: Column, factor: int, plus: Column) -> Column:
+def _scaled_digits(digits: str, lo: str, factor: int, plus: str) -> str:
     """Digits of number * factor + plus (a whole number below 2^53)."""
-    def add(acc, d):
-        t = d * F.lit(factor) + acc["carry"] + F.when(acc["k"] == 0, plus).otherwise(F.lit(0))
-        return F.struct((acc["k"] + 1).alias("k"), F.shiftright(t, WIDTH).alias("carry"),
-                        F.concat(acc["digits"], F.array(t.bitwiseAND(F.lit(MASK)))).alias("digits"))
-    start = F.struct(lo.cast("int").alias("k"), F.lit(0).cast("long").alias("carry"), F.array().cast("array<long>").alias("digits"))
-    return F.aggregate(digits, start, add)["digits"]
+    def cut(t):
+        return (f"named_struct('k', acc.k + 1, 'carry', shiftright({t}, {WIDTH}), "
+                f"'digits', concat(acc.digits, array({t} & {MASK}L)))")
+    t = f"d * {factor}L + acc.carry + CASE WHEN acc.k = 0 THEN {plus} ELSE 0L END"
+    return (f"aggregate({digits}, named_struct('k', CAST({lo} AS INT), 'carry', 0L, 'digits', {_DIGITS}), "
+            f"(acc, d) -> {_bind(t, cut)}).digits")
 
 
-def _divided(digits: Column, lo: Column, by: Column) -> Column:
+def _divided(digits: str, lo: str, by: str) -> str:
     """rest and whole quotient digits (highest first) of the digits from 2^0 up, divided by a whole number."""
-    whole = F.reverse(F.slice(digits, 1 - lo, F.size(digits)))
-
-    def add(acc, d):
-        def cut(t):
-            rest = t % _whole(by)
-            return F.struct(rest.cast(WHOLE).alias("rest"),
-                            F.concat(acc["digits"], F.array(((t - rest) / _whole(by)).cast("long"))).alias("digits"))
-        return _bind((acc["rest"] * _whole(1 << WIDTH) + _whole(d)).cast(WHOLE), cut)
-    return F.aggregate(whole, F.struct(_whole(0).alias("rest"), F.array().cast("array<long>").alias("digits")), add)
+    def cut(t):
+        return f"named_struct('rest', {t} % ({by}), 'digits', concat(acc.digits, array({t} div ({by}))))"
+    return (f"aggregate(reverse(slice({digits}, 1 - {lo}, size({digits}))), named_struct('rest', 0L, 'digits', {_DIGITS}), "
+            f"(acc, d) -> {_bind(f'acc.rest * {1 << WIDTH}L + d', cut)})")
 
 
-def _joined(digits: Column) -> Column:
-    return F.aggregate(digits, _whole(0), lambda n, d: (n * _whole(1 << WIDTH) + _whole(d)).cast(WHOLE))
+def _joined(digits: str) -> str:
+    return f"aggregate({digits}, {_whole(0)}, (n, d) -> {_whole(f'n * {1 << WIDTH}L + d')})"
 
 
-def _nearest(quotient: Column, lower: Column) -> Column:
+def _nearest(quotient: str, lower: str) -> str:
     """Nearest double of a whole number of at least 55 bits (digits highest first, and
     whether anything nonzero lies below them)."""
-    lead = F.filter(F.transform(quotient, lambda d, i: F.when(d > 0, i)), lambda i: i.isNotNull())
+    lead = f"get(filter(transform({quotient}, (d, i) -> CASE WHEN d > 0 THEN i END), i -> i IS NOT NULL), 0)"
 
     def value(first):
-        top = _joined(F.slice(quotient, first + 1, 3))
-        sticky = lower | F.exists(F.slice(quotient, first + 4, F.size(quotient)), lambda d: d > 0)
-        whole = (top * 2 + F.when(sticky, _whole(1)).otherwise(_whole(0))).cast(WHOLE)
-        unit = (F.size(quotient) - first - 3) * WIDTH - 1
-        return whole.cast("double") * F.pow(F.lit(2.0), unit)
-    return _bind(F.get(lead, F.lit(0)), value)
+        sticky = f"{lower} OR exists(slice({quotient}, {first} + 5, size({quotient})), d -> d > 0)"
+        top = _joined(f"slice({quotient}, {first} + 1, 4)")
+        return (f"CAST({_whole(f'{top} * 2 + CASE WHEN {sticky} THEN 1 ELSE 0 END')} AS DOUBLE) "
+                f"* pow(2D, greatest(size({quotient}) - {first} - 4, 0) * {WIDTH} - 1)")
+    return _bind(lead, value)
 
 
-def _rounded(bins: Column, n: Column, decimals: int) -> Column:
-    finite = F.filter(bins, lambda e: e["b"] < NAN)
-    powers = F.transform(finite, lambda e: e["b"] - 2)
-    lo = F.least(F.array_min(powers), F.lit(0))
-    hi = F.greatest(F.array_max(powers), F.lit(0)) + 7       # room for carries, the decimals and n
+def _rounded(bins: str, n: str, decimals: int) -> str:
+    finite = f"filter({bins}, e -> e.b < {NAN})"
+    powers = f"transform({finite}, e -> e.b)"
+    lo = f"least(array_min({powers}) - 3, 0)"
+    hi = f"greatest(array_max({powers}), 0) + 5"             # room for carries, the decimals and n
 
     def has(code):
-        return F.exists(bins, lambda e: e["b"] == code)
-
-    def value(number):
-        def of_size(size):
-            def result(quotient):
-                big = F.exists(F.slice(quotient["digits"], 1, F.size(quotient["digits"]) - 2), lambda d: d > 0)
-                below = (quotient["rest"] != 0) | F.exists(F.slice(size, 1, -lo), lambda d: d > 0)
-                twice = _scaled_digits(size, lo, 2 * 10 ** decimals, n)
-                units = _joined(_divided(twice, lo, n * 2)["digits"]).cast("decimal(28,0)")
-                small = (units * F.lit(Decimal(1).scaleb(-decimals))).cast("double")
-                return F.when(big, _nearest(quotient["digits"], below)).otherwise(small)
-            return _bind(_divided(size, lo, n), result)
-        negative = number["carry"] < 0
-        size = F.when(negative, _digits(finite, lo, hi, -1)["digits"]).otherwise(number["digits"])
-        return _bind(_bind(size, of_size), lambda v: F.when(negative & (v > 0), -v).otherwise(v))
-    return (F.when(n == 0, F.lit(None).cast("double"))
-            .when(has(NAN) | (has(PLUS) & has(MINUS)), F.lit(float("nan")))
-            .when(has(PLUS), F.lit(float("inf"))).when(has(MINUS), F.lit(float("-inf")))
-            .otherwise(_bind(_digits(finite, lo, hi, 1), value)))
-
-
-def _count(bins: Column) -> Column:
-    return F.aggregate(bins, F.lit(0).cast("long"), lambda n, e: n + e["n"])
-
-
-def sum_round(bins: Column, decimals: int) -> Column:
-    """round(sum, decimals) of a group's bins; null when it has no values."""
-    return F.when(F.size(bins) > 0, _rounded(bins, F.lit(1).cast("long"), decimals))
-
-
-def avg_round_bins(bins: Column, decimals: int) -> Column:
-    """round(sum / count, decimals) of a group's bins; null when it has no values."""
-    return F.when(F.size(bins) > 0, _rounded(bins, _count(bins), decimals))
+        return f"exists({bins}, e -> e.b = {code})"
+
+    def within(x):                                           # x: finite bins, lo, hi, n
+        def value(number):
+            def of_size(size):
+                def result(quotient):
+                    third = f"get({quotient}.digits, size({quotient}.digits) - 3)"         # worth 2^42
+                    big = f"({third} >= 4096 OR exists(slice({quotient}.digits, 1, size({quotient}.digits) - 3), d -> d > 0))"
+                    below = f"({quotient}.rest <> 0 OR exists(slice({size}, 1, -{x}.lo), d -> d > 0))"
+                    twice = _scaled_digits(size, f"{x}.lo", 2 * 10 ** decimals, f"{x}.n")
+                    units = _bind(twice, lambda t: _joined(_divided(t, f"{x}.lo", f"{x}.n * 2") + ".digits"))
+                    small = f"CAST(CAST({units} AS DECIMAL(28,0)) * {10.0 ** -decimals:.{decimals}f}BD AS DOUBLE)"
+                    return f"CASE WHEN {big} THEN {_nearest(f'{quotient}.digits', below)} ELSE {small} END"
+                return _bind(_divided(size, f"{x}.lo", f"{x}.n"), result)
+            minus = _digits(f"{x}.bins", f"{x}.lo", f"{x}.hi", -1)
+            size = f"CASE WHEN {number}.carry < 0 THEN {minus}.digits ELSE {number}.digits END"
+            return _bind(_bind(size, of_size), lambda v: f"CASE WHEN {number}.carry < 0 AND {v} > 0 THEN -{v} ELSE {v} END")
+        return _bind(_digits(f"{x}.bins", f"{x}.lo", f"{x}.hi", 1), value)
+    state = f"named_struct('bins', {finite}, 'lo', {lo}, 'hi', {hi}, 'n', {n})"
+    return (f"CASE WHEN {has(NAN)} OR ({has(PLUS)} AND {has(MINUS)}) THEN double('nan') WHEN {has(PLUS)} THEN double('inf') "
+            f"WHEN {has(MINUS)} THEN double('-inf') WHEN size({bins}) > 0 THEN {_bind(state, within)} END")
+
+
+def sum_round(bins: str, decimals: int) -> Column:
+    """round(sum, decimals) of a column of bins; null for a group without values."""
+    return F.expr(_rounded(bins, "1L", decimals))
+
+
+def avg_round(bins: str, decimals: int) -> Column:
+    """round(sum / count, decimals) of a column of bins; null for a group without values."""
+    return F.expr(_rounded(bins, f"aggregate({bins}, 0L, (n, e) -> n + e.n)", decimals))

@@ -9,7 +9,7 @@ bin and distinct id of a group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions import exact
@@ -22,29 +22,29 @@ def exact_group(df: DataFrame, keys: list[str], doubles: tuple = (), distinct: s
     each whole one a struct of its exact sum ``s`` and non-null count ``n``.
     Without keys: one row, also for no rows."""
     rows = df.select(*keys, *([F.col(distinct).alias("_id")] if distinct else []),
-                     *[F.col(c).cast("double").alias(f"_x_{c}") for c in doubles],
-                     *[F.col(c).alias(f"_w_{c}") for c in whole])
-    rows = rows.withColumns({f"_b_{c}": exact.exponent_bin(F.col(f"_x_{c}")) for c in doubles})
-    rows = rows.withColumns({f"_y_{c}": exact.scaled(F.col(f"_x_{c}"), F.col(f"_b_{c}")) for c in doubles})
-    id_type = rows.schema["_id"].dataType if distinct else None
-
-    def record(measure: int | None, counted: bool, first: bool) -> Column:
-        name = doubles[measure] if measure is not None else None
-        values = exact.parts(F.col(f"_y_{name}")) if name else [F.lit(None).cast("long")] * 4
-        return F.struct(
-            F.lit(measure).cast("int").alias("m"),
-            (F.col(f"_b_{name}") if name else F.lit(None).cast("int")).alias("b"),
-            *[v.alias(p) for v, p in zip(values, exact.PARTS)],
-            *([(F.col("_id") if counted else F.lit(None).cast(id_type)).alias("id")] if distinct else []),
-            F.lit(int(first)).cast("long").alias("rows"),
-            *[(F.col(f"_w_{c}") if first else F.lit(None).cast(rows.schema[f"_w_{c}"].dataType)).alias(f"w{i}")
-              for i, c in enumerate(whole)])
+                     *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(doubles)],
+                     *[F.col(c).alias(f"_w{i}") for i, c in enumerate(whole)])
+    rows = rows.selectExpr("*", *[f"{exact.exponent_bin(f'_x{i}')} AS _b{i}" for i in range(len(doubles))])
+    rows = rows.selectExpr("*", *[f"{exact.scaled(f'_x{i}', f'_b{i}')} AS _y{i}" for i in range(len(doubles))])
+    rows = rows.selectExpr("*", *[f"_y{i} - floor(_y{i}) AS _r{i}" for i in range(len(doubles))])
+    types = dict(rows.dtypes)
+
+    def record(measure: int | None, counted: bool, first: bool) -> str:
+        values = exact.parts(f"_y{measure}", f"_r{measure}") if measure is not None else ["CAST(NULL AS BIGINT)"] * 4
+        fields = {"m": f"CAST({'NULL' if measure is None else measure} AS INT)",
+                  "b": "CAST(NULL AS INT)" if measure is None else f"_b{measure}"}
+        fields |= dict(zip(exact.PARTS, values))
+        if distinct:
+            fields["id"] = "_id" if counted else f"CAST(NULL AS {types['_id']})"
+        fields["rows"] = f"{int(first)}L"
+        fields |= {f"w{i}": f"_w{i}" if first else f"CAST(NULL AS {types[f'_w{i}']})" for i in range(len(whole))}
+        return f"named_struct({', '.join(f'{k!r}, {v}' for k, v in fields.items())})"
 
     # the counted id travels alone, so that bins are not split by it
     records = [record(i, False, i == 0) for i in range(len(doubles))] or [record(None, False, True)]
     if distinct:
         records.append(record(None, True, False))
-    r = rows.select(*keys, F.explode(F.array(*records)).alias("r")).select(*keys, "r.*")
+    r = rows.select(*keys, F.expr(f"explode(array({', '.join(records)}))").alias("r")).select(*keys, "r.*")
     by = [*keys, *(["id"] if distinct else []), "m", "b"]
     first = r.groupBy(*by).agg(
         *[F.sum(p).alias(p) for p in exact.PARTS], F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"),
@@ -52,13 +52,10 @@ def exact_group(df: DataFrame, keys: list[str], doubles: tuple = (), distinct: s
                                                  F.count(f"w{i}").alias(f"n{i}"))])
     one_bin = F.struct("m", "b", *exact.PARTS, "n")
     second = first.groupBy(*keys).agg(
-        F.collect_list(F.when(F.col("b").isNotNull(), one_bin)).alias("_bins"),     # at most 80 a measure
+        F.collect_list(F.when(F.col("b").isNotNull(), one_bin)).alias("_bins"),     # at most 100 a measure
         *([F.count("id").alias("ids")] if distinct else []),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         *[F.struct(F.sum(f"s{i}").alias("s"), F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias("n")).alias(c)
           for i, c in enumerate(whole)])
-    def of_measure(i):
-        return F.filter("_bins", lambda e: e["m"] == i)
-
-    bins = [of_measure(i).alias(c) for i, c in enumerate(doubles)]
+    bins = [F.expr(f"filter(_bins, e -> e.m = {i})").alias(c) for i, c in enumerate(doubles)]
     return second.select(*keys, *(["ids"] if distinct else []), "rows", *bins, *whole)

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.exact import avg_round_bins, sum_round
+from ordermill.functions.exact import avg_round, sum_round
 from ordermill.functions.money import ratio_round
 from ordermill.operators.exact_agg import exact_group
 from ordermill.operators.joins import star_join
@@ -25,7 +25,7 @@ TOP_CUSTOMERS = 10
 
 def total_revenue(col="revenue"):
     """round(sum, 2) of a measure that ``exact_group`` summed."""
-    return sum_round(F.col(col), 2)
+    return sum_round(col, 2)
 
 
 def whole_average(col: str, digits: int):
@@ -77,7 +77,7 @@ def campaign_effectiveness(fact: DataFrame, dim_campaign: DataFrame) -> DataFram
     j = j.withColumn("campaign_name", F.coalesce(F.col("campaign_name"), F.lit(ORGANIC)))
     return (exact_group(j, ["campaign_name"], ("revenue", "discount"), "order_id")
             .select("campaign_name", F.col("ids").alias("order_count"), total_revenue().alias("total_revenue"),
-                    avg_round_bins(F.col("discount"), 2).alias("avg_discount_pct"))
+                    avg_round("discount", 2).alias("avg_discount_pct"))
             .orderBy(F.desc("total_revenue"), "campaign_name"))
 
 
@@ -101,7 +101,7 @@ def sales_summary(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     return exact_group(_with_product(fact, dim_product), group, ("revenue",), "order_id",
                        ("returned_flag", "delivery_days")).select(
         *group, F.col("ids").alias("total_orders"), total_revenue().alias("total_revenue"),
-        avg_round_bins(F.col("revenue"), 2).alias("avg_order_value"),
+        avg_round("revenue", 2).alias("avg_order_value"),
         ratio_round(F.col("returned_flag.s"), F.col("rows"), 2, 100).alias("return_rate_pct"),
         whole_average("delivery_days", 1).alias("avg_delivery_days"))
 
@@ -113,7 +113,7 @@ def kpi_scorecard(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     return exact_group(_with_product(fact, dim_product), [], ("revenue",), "order_id", ("delivery_days",)).select(
         total_revenue().alias("total_revenue"), F.col("ids").alias("total_orders"),
         whole_average("delivery_days", 1).alias("avg_delivery_days"),
-        avg_round_bins(F.col("revenue"), 2).alias("avg_order_value"))
+        avg_round("revenue", 2).alias("avg_order_value"))
 
 
 def revenue_over_time(fact: DataFrame) -> DataFrame:
