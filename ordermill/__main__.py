@@ -1,6 +1,7 @@
 """Command line: run the jobs and the registered queries.
 
-  python -m ordermill create  --raw ROOT
+  python -m ordermill create  --raw ROOT [--snapshots]
+  python -m ordermill expire  --table PATH [--keep N]
   python -m ordermill batch   --orders CSV --raw ROOT [--reference name=CSV ...]
   python -m ordermill stream  --source DIR --good PATH --bad PATH --checkpoint PATH [--once]
   python -m ordermill replay  --orders CSV --out DIR [--good PATH] [--errors PATH] [--late-offset S]
@@ -47,7 +48,13 @@ def main(argv=None) -> int:
     c = sub.add_parser("reconcile")
     c.add_argument("--table", required=True)
     for cmd in ("create", "counts"):
-        sub.add_parser(cmd).add_argument("--raw", required=True)
+        x = sub.add_parser(cmd)
+        x.add_argument("--raw", required=True)
+        if cmd == "create":
+            x.add_argument("--snapshots", action="store_true", help="batch tables as snapshot tables")
+    e = sub.add_parser("expire")
+    e.add_argument("--table", required=True)
+    e.add_argument("--keep", type=int, default=2, help="versions to keep")
     m = sub.add_parser("build")
     m.add_argument("--raw", required=True)
     m.add_argument("--models", required=True)
@@ -78,7 +85,10 @@ def main(argv=None) -> int:
     df = None
     if a.cmd == "create":
         from ordermill.plans.batch_job import create_raw
-        print(json.dumps({"created": create_raw(spark, a.raw)}))
+        print(json.dumps({"created": create_raw(spark, a.raw, a.snapshots)}))
+    elif a.cmd == "expire":
+        from ordermill.sources.snapshots import SnapshotTable
+        print(json.dumps({"removed": SnapshotTable(spark, a.table).expire(a.keep)}))
     elif a.cmd == "batch":
         from ordermill.plans.batch_job import ingest_orders, ingest_reference
         out = {"orders": ingest_orders(spark, a.orders, a.raw)}

@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 
 from ordermill.operators import validate as V
 from ordermill.operators.dedup import dedup
-from ordermill.schemas import ERRORS, ORDER_COLUMNS, ORDERS_BATCH, RAW_TABLES, REFERENCE_TABLES, coercion_spec
+from ordermill.schemas import ERRORS, ORDER_COLUMNS, ORDERS_BATCH, RAW_TABLES, REFERENCE_TABLES, SNAPSHOT_KEYS, coercion_spec
 from ordermill.session import prepare
-from ordermill.sources.files import create_tables, enforce_not_null, insert_new, read_csv_strings, upsert_table
+from ordermill.sources.files import create_tables, enforce_not_null, insert_new, read_csv_strings, read_table, upsert_table
 
 
 def run_clock() -> Column:
     return F.lit(_dt.datetime.now(_dt.timezone.utc))
 
 
-def create_raw(spark: SparkSession, raw_root: str) -> list[str]:
-    """Create the raw tables that are missing; their names."""
-    return create_tables(spark, raw_root.rstrip("/"), RAW_TABLES)
+def create_raw(spark: SparkSession, raw_root: str, snapshots: bool = False) -> list[str]:
+    """Create the raw tables that are missing; their names.  With ``snapshots``
+    those that batch loads write are snapshot tables (stream sinks are folders
+    of batches either way)."""
+    return create_tables(spark, raw_root.rstrip("/"), RAW_TABLES, SNAPSHOT_KEYS if snapshots else None)
 
 
 def ingest_orders(spark: SparkSession, csv_path: str, raw_root: str,
@@ -58,6 +60,6 @@ def ingest_reference(spark: SparkSession, name: str, csv_path: str, raw_root: st
     coerced = V.coerce_dimension(rows, spec).observe(kept, F.count(F.lit(1)).alias("n"))
     typed = enforce_not_null(coerced.withColumn("ingestion_timestamp", clock), schema)
     upsert_table(spark, typed, f"{raw_root}/{name}", spec["key"])
-    loaded = spark.read.parquet(f"{raw_root}/{name}").count()  # from the file footers
+    loaded = read_table(spark, f"{raw_root}/{name}", schema).count()  # from the file footers
     n, k = read.get["n"], kept.get["n"]
     return {"rows": n, "kept": k, "dropped_missing_key": n - k, "table_rows": loaded}

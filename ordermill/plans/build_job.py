@@ -1,8 +1,8 @@
 """Build job: stored raw tables -> stored star schema, and its readers.
 
 Staging and the union layer stay lazy plans (views); dimensions are tables;
-the fact is an incremental table partitioned by order date; the sales summary
-is a view over the stored tables."""
+the fact is an incremental table partitioned by order date, all of them snapshot
+tables; the sales summary is a view over them."""
 
 from __future__ import annotations
 
@@ -17,7 +17,8 @@ from ordermill.plans import reports as R
 from ordermill.plans.model import Models, StoredRaw
 from ordermill.schemas import RAW_TABLES
 from ordermill.session import prepare
-from ordermill.sources.files import materialize, read_table, upsert_table, write_table
+from ordermill.sources.files import materialize
+from ordermill.sources.snapshots import SnapshotTable
 
 LAYER = "reporting"
 DIMENSIONS = ("dim_customer", "dim_product", "dim_campaign")
@@ -44,23 +45,30 @@ def build(spark: SparkSession, raw_root: str, model_root: str, full_refresh: boo
     prepare(spark)
     model = Models(StoredRaw(spark, raw_root))
     for name in DIMENSIONS:
-        materialize(getattr(model, name), "table", name, model_root, LAYER)
-    materialize(marts.dim_date(marts.date_spine(spark)), "table", "dim_date", model_root, LAYER)
-    path = f"{model_root.rstrip('/')}/{LAYER}/fact_orders"
-    stored = None if full_refresh else read_table(spark, path)
+        _store(spark, model_root, name, getattr(model, name))
+    _store(spark, model_root, "dim_date", marts.dim_date(marts.date_spine(spark)))
+    fact = SnapshotTable(spark, f"{model_root.rstrip('/')}/{LAYER}/fact_orders")
+    stored = None if full_refresh or not fact.exists() else fact.read()
     if stored is None:
-        write_table(model.fact_orders, path, ["order_date"])
+        _store(spark, model_root, "fact_orders", model.fact_orders, ["order_id"], ["order_date"])
     else:
         mark = stored.agg(F.unix_micros(F.max("loaded_at"))).first()[0]
         new = marts.new_fact_rows(model.stg_orders_batch, model.stg_orders_stream,
                                   F.timestamp_micros(F.lit(mark).cast("bigint")))
-        upsert_table(spark, new, path, ["order_id"], partition_by="order_date")
+        fact.upsert(new)
     built = Built(spark, model_root)
     built.register_views()
     return {"run": "full" if stored is None else "incremental"} | {
         r["table_name"]: r["row_count"] for r in built.row_counts().collect()}
 
 
+def _store(spark: SparkSession, model_root: str, name: str, df: DataFrame, keys=(), partition_by=()) -> None:
+    """Replace a stored model by a new version of it; a reader sees the old or the new one."""
+    table = SnapshotTable(spark, f"{model_root.rstrip('/')}/{LAYER}/{name}")
+    table.create(df.schema, keys, partition_by)
+    table.overwrite(df, df.schema)
+
+
 class Built:
     """The stored star schema: tables, reports, quality suite."""
 
@@ -69,7 +77,7 @@ class Built:
         self.root = f"{model_root.rstrip('/')}/{LAYER}"
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return SnapshotTable(self.spark, f"{self.root}/{name}").read()
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:

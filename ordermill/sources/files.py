@@ -43,14 +43,14 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None =
 
 # --- file system helpers (Hadoop FileSystem of the session) ------------------------
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
@@ -60,6 +60,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     one it counts as not there."""
     if not table_exists(spark, path):
         return None
+    stored = _snapshots(spark, path)
+    if stored is not None:
+        table = stored.read()
+        return table if schema is None else table.select(*schema.names)
     if schema is not None:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     try:
@@ -87,16 +91,23 @@ def enforce_not_null(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[checked(f) for f in schema.fields])
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 
 
-def _delete_partition(spark: SparkSession, path: str, columns: list[str], values) -> None:
+def partition_folder(spark: SparkSession, columns: list[str], values) -> str:
+    """Folder of a partition below its table, named as the writer names it."""
     names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    folders = [names.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(columns, values)]
-    _delete(spark, "/".join([path.rstrip("/"), *folders]))
+    return "/".join(names.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(columns, values))
+
+
+def _snapshots(spark: SparkSession, path: str):
+    """The snapshot table at ``path``, or None for plain parquet folders."""
+    from ordermill.sources.snapshots import SnapshotTable
+    table = SnapshotTable(spark, path)
+    return table if table.exists() else None
 
 
 # --- sinks ---------------------------------------------------------------------------
@@ -134,8 +145,8 @@ def finish_replacement(spark: SparkSession, path: str, partition_by: list[str])
             left = rows.select(*partition_by).distinct()
             touched = spark.read.parquet(f"{pending}/touched")
             for gone in touched.exceptAll(left).collect():  # metadata: the emptied partitions
-                _delete_partition(spark, path, partition_by, gone)
-    _delete(spark, pending)
+                delete_folder(spark, f"{path.rstrip('/')}/{partition_folder(spark, partition_by, gone)}")
+    delete_folder(spark, pending)
     return whole
 
 
@@ -152,6 +163,10 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     touched-partition list is metadata (one value per partition), the only
     thing collected to the driver.
     """
+    stored = _snapshots(spark, path)
+    if stored is not None:
+        stored.upsert(source)
+        return
     parts = [partition_by] if partition_by else []
     finish_replacement(spark, path, parts)
     pending = pending_folder(path)
@@ -160,15 +175,15 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     named = source.na.drop(subset=keys).select(*keys)
     twice = duplicate_keys(named, keys).limit(1).collect()
     if twice:
-        _delete(spark, pending)
+        delete_folder(spark, pending)
         raise ValueError(f"key {tuple(twice[0][:-1])} occurs more than once in the rows for {path}")
     stored = read_table(spark, path)
     if stored is None:
         write_table(source, path, parts)
-        _delete(spark, pending)
+        delete_folder(spark, pending)
         return
     if set(stored.columns) != set(source.columns):
-        _delete(spark, pending)
+        delete_folder(spark, pending)
         raise ValueError(f"{path} has the columns {stored.columns}, its new rows {source.columns}")
     # the types of the new rows: a partition column is not guessed from folder names
     target = read_table(spark, path, source.schema)
@@ -188,23 +203,34 @@ def insert_new(spark: SparkSession, source: DataFrame, path: str, keys: list[str
     """MERGE ... WHEN NOT MATCHED INSERT: append the source rows whose key is
     not in the table yet (appending never rewrites what is read).  The source
     is evaluated once, into a pending folder."""
+    stored = _snapshots(spark, path)
+    if stored is not None:
+        stored.insert_new(source)
+        return
     pending = f"{pending_folder(path)}_new"
-    _delete(spark, pending)
+    delete_folder(spark, pending)
     source.write.parquet(pending)
     source = spark.read.schema(source.schema).parquet(pending)
     target = read_table(spark, path, source.schema)
     new = source if target is None else source.join(target.select(*keys).distinct(), keys, "left_anti")
     write_table(new.select(*source.columns), path, mode="append")
-    _delete(spark, pending)
+    delete_folder(spark, pending)
 
 
-def create_tables(spark: SparkSession, root: str, tables: dict) -> list[str]:
+def create_tables(spark: SparkSession, root: str, tables: dict, snapshot_keys: dict | None = None) -> list[str]:
     """Create the missing tables of ``tables`` (by name, see schemas.RAW_TABLES)
-    under ``root``, empty; returns their names.  Writers hold a table to its
-    declared schema with ``enforce_not_null``, readers read it in that schema."""
+    under ``root``, empty; returns their names.  Those named in ``snapshot_keys``
+    (name: its keys) become snapshot tables, which store their declaration and
+    hold every writer to it.  The others are plain folders: writers hold them to
+    the declared schema with ``enforce_not_null``, readers read them in it."""
+    from ordermill.sources.snapshots import SnapshotTable
     missing = [n for n in tables if not table_exists(spark, f"{root}/{n}")]
     for name in missing:
-        fs, p = _fs(spark, f"{root}/{name}")
+        if name in (snapshot_keys or {}):
+            schema, parts = tables[name]
+            SnapshotTable(spark, f"{root}/{name}").create(schema, snapshot_keys[name], parts)
+            continue
+        fs, p = file_system(spark, f"{root}/{name}")
         fs.mkdirs(p)
     return missing
 
