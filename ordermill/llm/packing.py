@@ -31,8 +31,11 @@ CACHE_WORDS, CACHE_CHARS = 900_000, 32
 TOKENIZER = "word_bpe_49k.json"
 
 
-# A word may also be cut between a letter or digit and the run of ASCII marks that ends it:
-# no pre-token of the tokenizer reaches over that place.
+# A word may also be cut between a letter or digit and the run of ASCII marks that ends it: no
+# pre-token of the tokenizer reaches over that place, if lower-casing leaves one letter there
+# (of U+0130 it leaves a combining dot).  Letters past the Latin ones are not cut: the
+# tokenizer's own tables decide what they are.  Words that may hold a special token stay whole.
+LAST_LATIN, SPECIAL = "\u024f", "<|"
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
@@ -46,7 +49,6 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         assert self.tokenizer.get_vocab_size() <= 1 << 16
 
     @classmethod
@@ -58,10 +60,14 @@ class Words:
     @staticmethod
     def core(word):
         """(word without the marks that end it, those marks); letters are lower-cased anyway."""
+        if SPECIAL in word:
+            return word, ""
         if word.isascii():
             word = word.lower()
         core = word.rstrip(MARKS)
-        return (core, word[len(core):]) if core and core[-1].isalnum() else (word, "")
+        last = core[-1:].lower()
+        whole = len(last) == 1 and last <= LAST_LATIN and last.isalnum()
+        return (core, word[len(core):]) if whole else (word, "")
 
     def ids(self, texts):
         """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,

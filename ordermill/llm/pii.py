@@ -25,15 +25,20 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import id_text
 
 # The base patterns.  Java evaluates a possessive group without
-# recursion; at the end of a pattern it matches what the greedy one does.
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
-IP = r"[0-9]+(?:\.[0-9]+){3}"
+# recursion; at the end of a pattern it matches what the greedy one does.  A run
+# of letters or digits is tried from its start, or from where the last match
+# ended, only: every start inside it meets the same end of the run, so the
+# leftmost match is the same and a text costs time in proportion to its length.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
+IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ["email", "ip", "card", "phone"]
 
-LOOSE_NUMBER = r"[(0-9][0-9\x20()./_-]{6,}[0-9]"
-LOOSE_EMAIL = r"[^\s@<>()\[\],;:]++@[^\s@<>()\[\],;:]+"
+# A loose number is at most 64 characters long: none of the kinds is longer, and
+# a long run of digits is no number of a person in any of its parts.
+LOOSE_NUMBER = r"(?<![0-9])[(0-9][0-9\x20()./_-]{6,62}[0-9](?![0-9])"
+LOOSE_EMAIL = r"(?:\G|(?<![^\s@<>()\[\],;:]))[^\s@<>()\[\],;:]++@[^\s@<>()\[\],;:]+"
 GENERATORS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE,
               "number": LOOSE_NUMBER, "around": LOOSE_EMAIL}
 NEEDS = {"email": "@", "phone": "+", "around": "@"}       # a text without it has no match
