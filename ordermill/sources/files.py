@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from ordermill.operators.dedup import duplicate_keys
 from ordermill.operators.upsert import upsert
+from ordermill.sources.csv_records import read_records
 
 
 # --- sources -----------------------------------------------------------------
@@ -26,19 +27,16 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None =
     as they stand in their files.
 
     ``columns`` are found by their header names; a missing one is an error.
-    Quoting follows RFC 4180 (doubled quotes, line breaks inside quotes), so
-    one file is read by one task.  Files of one path share one header."""
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-          .option("multiLine", True).option("inferSchema", False).csv(path))
-    if columns is not None:
-        missing = [c for c in columns if c not in df.columns]
-        if missing:
-            raise ValueError(f"{path} lacks the columns {missing}")
-        df = df.select(*columns, "_metadata")
-    pos = F.struct(F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("row"))
-    return df.withColumn("_pos", pos)
+    Quoting follows RFC 4180 (doubled quotes, line breaks inside quotes), and a
+    file is read by as many tasks as it has splits (see csv_records).  Files of
+    one path share one header."""
+    df = read_records(spark, path)
+    if columns is None:
+        return df
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return df.select(*columns, "_pos")
 
 
 # --- file system helpers (Hadoop FileSystem of the session) ------------------------
