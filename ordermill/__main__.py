@@ -3,7 +3,7 @@
   python -m ordermill create  --raw ROOT [--snapshots]
   python -m ordermill expire  --table PATH [--keep N]
   python -m ordermill batch   --orders CSV --raw ROOT [--reference name=CSV ...]
-  python -m ordermill stream  --source DIR --good PATH --bad PATH --checkpoint PATH [--once]
+  python -m ordermill stream  --source DIR --good PATH --bad PATH --checkpoint PATH [--early S] [--once]
   python -m ordermill replay  --orders CSV --out DIR [--good PATH] [--errors PATH] [--late-offset S]
   python -m ordermill reconcile --table PATH
   python -m ordermill build   --raw ROOT --models ROOT [--full-refresh]
@@ -37,6 +37,7 @@ def main(argv=None) -> int:
     s.add_argument("--window", type=int, default=60)
     s.add_argument("--lateness", type=int, default=300)
     s.add_argument("--trigger", default="30 seconds")
+    s.add_argument("--early", type=int, help="fire panes, early ones after so many seconds")
     s.add_argument("--sinks-must-exist", action="store_true", help="fail when a sink was not created")
     s.add_argument("--once", action="store_true", help="process what is there, then stop")
     r = sub.add_parser("replay")
@@ -103,7 +104,7 @@ def main(argv=None) -> int:
         spark.streams.addListener(counters)
         trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
         qh = start(read_message_stream(spark, a.source), a.good, a.bad, a.checkpoint,
-                   a.window, a.lateness, trigger, a.sinks_must_exist)
+                   a.window, a.lateness, trigger, a.sinks_must_exist, a.early)
         qh.awaitTermination()
         spark.streams.removeListener(counters)
         print(json.dumps(counters.counts))

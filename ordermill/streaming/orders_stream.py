@@ -10,7 +10,8 @@ Design (Spark-first):
   * the watermark runs on least(event time, arrival time): an event stamped
     in the future cannot push the watermark ahead of on-time rows;
   * duplicates: dropDuplicatesWithinWatermark on (order_id, window start):
-    one copy per key and window, state expires with the watermark;
+    one copy per key and window, state expires with the watermark; or, with
+    ``early_s``, one copy per firing pane of the window (see panes), numbered;
   * one branch (the source is read and parsed once per micro-batch); good
     and error rows are split inside foreachBatch; each batch overwrites its
     own batch_id= folder, so a replayed batch after a restart rewrites
@@ -25,12 +26,14 @@ import logging
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from ordermill.functions.dates import window_start
 from ordermill.operators import validate as V
 from ordermill.schemas import ERRORS, ORDERS_STREAM
 from ordermill.sources.files import enforce_not_null, read_table, table_exists
 from ordermill.sources.messages import decode_orders
+from ordermill.streaming.panes import PANE_FIELDS, SECOND, with_panes
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +43,7 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 
 def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300,
-                  arrival: Column | None = None) -> DataFrame:
+                  arrival: Column | None = None, early_s: int | None = None) -> DataFrame:
     """messages: ``value`` (JSON text) and ``arrival_ts``.  Returns rows of
     (kind, good struct, error struct) ready for ``write_batch``.
 
@@ -50,7 +53,8 @@ def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300
     (error_id; a redelivered bad message is the same error, as in the
     insert-only error merge of the batch path).  Error rows carry their
     arrival time as watermark time, so they are never behind the watermark
-    and their state expires after the delay.
+    and their state expires after the delay.  With ``early_s`` the good rows
+    are those that open a pane, and carry its number and firing.
     """
     arrival = F.col("arrival_ts") if arrival is None else arrival
     decoded = decode_orders(messages.withColumn("arrival_ts", arrival))
@@ -62,11 +66,14 @@ def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300
         "_window_start": F.when(ok, window_start(F.col("event_timestamp"), window_s)),
         "_error_id": F.when(~ok, F.md5(F.col("raw_row"))),
     })
-    kept = (keyed.withWatermark("_wm", f"{window_s + lateness_s} seconds")
-            .dropDuplicatesWithinWatermark(["order_id", "_window_start", "_error_id"]))
+    keyed = keyed.withWatermark("_wm", f"{window_s + lateness_s} seconds")
+    if early_s is None:
+        kept = keyed.dropDuplicatesWithinWatermark(["order_id", "_window_start", "_error_id"])
+    else:
+        kept = _paned(keyed, window_s, early_s)
     good_cols = {"source_system": F.lit("stream"), "ingestion_timestamp": F.col("arrival_ts")}
-    good_struct = F.struct(*[(good_cols.get(f.name, F.col(f.name))).cast(f.dataType).alias(f.name)
-                             for f in ORDERS_STREAM.fields])
+    good_struct = F.struct(*[good_cols.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
+                             for f in good_schema(early_s).fields])
     bad_struct = F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(
         [F.col("_error_id"), F.substring("raw_row", 1, V.STREAM_RAW_MAX),
          F.substring("error_reason", 1, V.REASON_MAX), F.lit("stream"), F.col("arrival_ts")],
@@ -76,13 +83,34 @@ def orders_stream(messages: DataFrame, window_s: int = 60, lateness_s: int = 300
                        F.when(~ok, bad_struct).alias("bad"))
 
 
-def write_batch(good_path: str, bad_path: str, run_name: str = "0"):
+def good_schema(early_s: int | None) -> StructType:
+    """The good sink's columns: the declared ones, and the pane's where there are panes."""
+    return ORDERS_STREAM if early_s is None else StructType([*ORDERS_STREAM.fields, *PANE_FIELDS])
+
+
+def _paned(keyed: DataFrame, window_s: int, early_s: int) -> DataFrame:
+    """Good rows that open a pane, and the first row of every rejected message; times
+    pass the state operator as microseconds."""
+    start = F.unix_micros("_window_start")
+    fields = [f.name for f in ORDERS_STREAM.fields if f.name in keyed.columns and f.name != "event_timestamp"]
+    slim = keyed.select(*fields, "_wm", "raw_row", "error_reason", "_error_id", start.alias("_start"),
+                        F.unix_micros("event_timestamp").alias("_event"), F.unix_micros("arrival_ts").alias("arrival"),
+                        (start + window_s * SECOND).alias("window_end"))
+    keys = {"_id": F.coalesce("order_id", F.lit("")), "_from": F.coalesce("_start", F.lit(-1)),
+            "_error": F.coalesce("_error_id", F.lit(""))}
+    # an error is known by its text alone, as in the other mode
+    keys["_id"] = F.when(F.col("error_reason").isNull(), keys["_id"]).otherwise(F.lit(""))
+    kept = with_panes(slim.withColumns(keys), list(keys), "_wm", early_s)
+    return kept.withColumns({"arrival_ts": F.timestamp_micros("arrival"), "event_timestamp": F.timestamp_micros("_event")})
+
+
+def write_batch(good_path: str, bad_path: str, run_name: str = "0", schema: StructType = ORDERS_STREAM):
     """foreachBatch function: both sinks from one micro-batch, idempotent per
     run and batch id (a replay overwrites its own folder, never another run's)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good = enforce_not_null(batch.where(F.col("kind") == GOOD).select("good.*"), ORDERS_STREAM)
+            good = enforce_not_null(batch.where(F.col("kind") == GOOD).select("good.*"), schema)
             bad = enforce_not_null(batch.where(F.col("kind") == BAD).select("bad.*"), ERRORS)
             (good.hint("rebalance", "order_date").write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy("order_date")
@@ -146,21 +174,22 @@ def check_sink(spark, path: str, schema, must_exist: bool = False) -> None:
 
 def start(messages: DataFrame, good_path: str, bad_path: str, checkpoint: str,
           window_s: int = 60, lateness_s: int = 300, trigger: dict | None = None,
-          sinks_must_exist: bool = False):
+          sinks_must_exist: bool = False, early_s: int | None = None):
     """Start the stream.  ``trigger`` e.g. {"processingTime": "30 seconds"}
-    (the early-firing cadence) or {"availableNow": True} for a catch-up run."""
+    (how often new messages are taken up) or {"availableNow": True} for a catch-up
+    run.  ``early_s``: fire panes, early ones after so many seconds."""
     spark = messages.sparkSession
     check_sink(spark, good_path, ORDERS_STREAM, sinks_must_exist)
     check_sink(spark, bad_path, ERRORS, sinks_must_exist)
     # Dedup state lives in RocksDB (off-heap, spills to local disk, snapshots
     # to the checkpoint) unless the deployment chose a provider itself.
     key = "spark.sql.streaming.stateStore.providerClass"
-    if "HDFSBackedStateStoreProvider" in (spark.conf.get(key, "") or "HDFSBacked"):
+    if "HDFSBackedStateStoreProvider" in (spark.conf.get(key, None) or "HDFSBackedStateStoreProvider"):
         spark.conf.set(key, ROCKSDB_PROVIDER)
     # a new checkpoint counts its batches from 0 again: its folders carry its own name
     run_name = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
-    out = orders_stream(messages, window_s, lateness_s)
-    w = (out.writeStream.foreachBatch(write_batch(good_path, bad_path, run_name))
+    out = orders_stream(messages, window_s, lateness_s, early_s=early_s)
+    w = (out.writeStream.foreachBatch(write_batch(good_path, bad_path, run_name, good_schema(early_s)))
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if trigger:
         w = w.trigger(**trigger)
