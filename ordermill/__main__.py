@@ -36,6 +36,7 @@ def main(argv=None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--window", type=int, default=60)
     s.add_argument("--lateness", type=int, default=300)
+    s.add_argument("--records", action="store_true", help="the source holds keyed records with headers (parquet)")
     s.add_argument("--trigger", default="30 seconds")
     s.add_argument("--early", type=int, help="fire panes, early ones after so many seconds")
     s.add_argument("--sinks-must-exist", action="store_true", help="fail when a sink was not created")
@@ -98,12 +99,13 @@ def main(argv=None) -> int:
             out[name] = ingest_reference(spark, name, path, a.raw)
         print(json.dumps(out))
     elif a.cmd == "stream":
-        from ordermill.sources.messages import read_message_stream
+        from ordermill.sources.messages import read_message_stream, read_record_stream
         from ordermill.streaming.orders_stream import RunCounters, start
         counters = RunCounters()
         spark.streams.addListener(counters)
         trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
-        qh = start(read_message_stream(spark, a.source), a.good, a.bad, a.checkpoint,
+        source = (read_record_stream if a.records else read_message_stream)(spark, a.source)
+        qh = start(source, a.good, a.bad, a.checkpoint,
                    a.window, a.lateness, trigger, a.sinks_must_exist, a.early)
         qh.awaitTermination()
         spark.streams.removeListener(counters)

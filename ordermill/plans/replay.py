@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ordermill.sources.messages import encode_orders, stamp_event_time
+from ordermill.sources.messages import TIME_HEADER, encode_orders, stamp_event_time
 
 
 def error_order_ids(errors: DataFrame, source: str = "stream") -> DataFrame:
@@ -51,7 +51,7 @@ def to_messages(rows: DataFrame, now: Column | None = None, late_offset_s: int =
 def to_records(messages: DataFrame) -> DataFrame:
     """Messages as keyed records: the order id as key, the JSON as value, the
     event time as header (the columns a Kafka sink takes)."""
-    header = F.struct(F.lit("event_timestamp").alias("key"),
+    header = F.struct(F.lit(TIME_HEADER).alias("key"),
                       F.col("event_timestamp").cast("binary").alias("value"))
     return messages.select(F.get_json_object("value", "$.order_id").alias("key"), "value",
                            F.array(header).alias("headers"))

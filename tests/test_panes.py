@@ -83,3 +83,33 @@ def test_stream_fires_numbered_panes_and_replays_them(spark, tmp, run):
     assert run.go() == want
     run.put((_msg("A", "10:00:18", customer_city="later"), "10:05:00"))
     assert run.go() == sorted(want + [("A", 4, "late", "later", "10:05:00")])
+
+
+def test_records_round_trip_with_event_time_header(spark, tmp):
+    from ordermill.plans.replay import publish, to_messages
+    from ordermill.sources.messages import RECORD_SCHEMA, decode_orders, read_record_stream, records_as_messages
+    from tests.helpers import row, text_df
+    publish(to_messages(text_df(spark, [row(order_id="R1"), row(order_id="R2")])), f"{tmp}/in", fmt="parquet")
+    now = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).first()[0]
+    body = {k: v for k, v in GOOD.items()}
+    only_header = json.dumps(dict(body, order_id="R3", source_system="stream"))          # no event time in the payload
+    wrong = json.dumps(dict(body, order_id="R4", source_system="stream", event_timestamp=now))
+    header = lambda v: [("event_timestamp", v.encode()), ("other", b"x")]
+    rows = [("R3", only_header, header(now)), ("R4", wrong, header("no time")), ("R5", wrong.replace("R4", "R5"), None)]
+    spark.createDataFrame(rows, RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    q = start(read_record_stream(spark, f"{tmp}/in"), f"{tmp}/good", f"{tmp}/bad", f"{tmp}/ck", trigger={"availableNow": True})
+    assert q.awaitTermination(120) and q.exception() is None
+    assert sorted(r["order_id"] for r in spark.read.parquet(f"{tmp}/good").collect()) == ["R1", "R2", "R3", "R5"]
+    bad = spark.read.parquet(f"{tmp}/bad").collect()
+    assert len(bad) == 1 and bad[0]["error_reason"].startswith("invalid event_timestamp")     # the header goes first
+    batch = decode_orders(records_as_messages(spark.read.schema(RECORD_SCHEMA).parquet(f"{tmp}/in")))
+    assert batch.where("order_id = 'R3'").first()["event_timestamp"] == now
+
+
+def test_odd_json_is_no_order(spark):
+    from ordermill.sources.messages import decode_orders
+    texts = ['{"order_id":"A","nested":{"x":[1,2]}}', "null", "", "  ", "[]", "{}", '[{"order_id":"A"}]', '{"order_id":"A"},', '"s"', "1",
+             '{"order_id":"A","quantity":}', '{"order_id":"A"', None, '{"order_id":{"a":1}}', '{"order_id":5,"quantity":[1]}']
+    got = decode_orders(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    assert [r["_not_object"] for r in got] == [t not in (texts[0], "{}", texts[-1], texts[-2]) for t in texts]
+    assert [got[-2]["order_id"], got[-1]["order_id"], got[-1]["quantity"]] == ['{"a":1}', "5", "[1]"]
