@@ -7,6 +7,7 @@
   python -m ordermill replay  --orders CSV --out DIR [--good PATH] [--errors PATH] [--late-offset S]
   python -m ordermill reconcile --table PATH
   python -m ordermill build   --raw ROOT --models ROOT [--full-refresh]
+  python -m ordermill lineage --raw ROOT [--models ROOT]
   python -m ordermill report  NAME --models ROOT [--as-of DATE] [--show N] [--out PATH]
   python -m ordermill quality --models ROOT
   python -m ordermill counts  --raw ROOT
@@ -65,6 +66,9 @@ def main(argv=None) -> int:
     p.add_argument("name")
     p.add_argument("--models", required=True)
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="last day of the 90-day report (today)")
+    li = sub.add_parser("lineage")
+    li.add_argument("--raw", required=True)
+    li.add_argument("--models", help="list the stored models a build would renew")
     sub.add_parser("quality").add_argument("--models", required=True)
     g = sub.add_parser("governed")
     g.add_argument("--models", required=True)
@@ -122,6 +126,15 @@ def main(argv=None) -> int:
     elif a.cmd == "build":
         from ordermill.plans.build_job import build
         print(json.dumps(build(spark, a.raw, a.models, a.full_refresh)))
+    elif a.cmd == "lineage":
+        from ordermill.plans.build_job import REPORTS, stale_models
+        from ordermill.plans.lineage import model_edges
+        from ordermill.plans.model import StoredRaw
+        if a.models:
+            print(json.dumps({"stale": stale_models(spark, a.raw, a.models)}))
+        else:
+            df = spark.createDataFrame(model_edges(StoredRaw(spark, a.raw), REPORTS), "model string, input string")
+            a.show, a.out = 1000, None
     elif a.cmd == "quality":
         from ordermill.plans.build_job import Built
         failures = Built(spark, a.models).quality().collect()  # one row per declared check
