@@ -40,9 +40,13 @@ ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 
 # HTML element groups.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title svg math iframe object select option canvas audio video head".split())
+RAW = set("script style textarea title".split())                # text up to the end tag, or the end of the page
+# What a reader does not see as text, skipped as a whole; without an end tag of its own only the tag goes.
+SKIPPED = set("noscript iframe canvas audio video select datalist template svg object".split())
+NESTING = set("template svg object".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
-             "span strike strong sub sup time tt u var wbr".split())
+             "span strike strong sub sup time tt u var wbr "
+             "math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtext munder semantics".split())
 CLOSES_P = set("address article aside blockquote center dd details div dl dt fieldset figcaption figure footer form h1 h2 "
                "h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 NOISE_TAGS = set("nav footer aside form button dialog menu".split())
@@ -58,7 +62,22 @@ NOISE_WORDS = set(
     "social-links social-share top-bar".split())
 SAME_LEVEL = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"},
               "tr": {"table", "tbody", "thead"}, "option": {"select"}}
-HEAD_END = re.compile(r"</head\s*>|<body\b", re.I)
+
+
+def _end_of(source: str, tag: str, at: int) -> int | None:
+    """Where the element that was opened before ``at`` ends; None when it is never
+    closed (a second start tag of an element that cannot hold itself comes first)."""
+    depth = 1
+    for m in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.I).finditer(source, at):
+        if not m[1]:
+            if tag not in NESTING:
+                return None
+            depth += not m[0].endswith("/>")
+        else:
+            depth -= 1
+            if not depth:
+                return m.end()
+    return None
 
 
 def _code(*parts) -> int:
@@ -137,14 +156,17 @@ class Page:
                 continue
             if tag in RAW:
                 if not attrs.rstrip().endswith("/"):
-                    stop = (HEAD_END.search(source, at) if tag == "head" else
-                            re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at))
-                    at = (stop.start() if stop[0][:2] != "</" else stop.end()) if stop else end
+                    stop = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+                    at = stop.end() if stop else end
+                continue
+            if tag in SKIPPED:
+                if not attrs.rstrip().endswith("/"):
+                    at = _end_of(source, tag, at) or at
                 continue
             if tag == "br" or tag == "wbr":
                 buffer.append(" " if tag == "br" else "")
                 continue
-            if tag in ("html", "body"):
+            if tag in ("html", "head", "body"):              # a head holds nothing but raw, skipped and void elements
                 continue
             if tag in VOID:
                 if tag == "hr":
@@ -263,8 +285,10 @@ def style_tree(pages: DataFrame, url_col="url", html_col="html") -> DataFrame:
              .agg(F.avg(F.when(kind == TEXT, text)).alias("text"),
                   F.sum(F.when(kind == STYLE, n / m * F.log(m / n) / F.log(m))).alias("style"),
                   F.max(kind == MARK).alias("marked"), F.max(kind == FAR).alias("far"),
-                  F.collect_set(F.when((kind == TEXT) & (n >= LEAST_PAGES) & (text < LEAST_IMPORTANCE), code))
-                  .alias("stale")))
+                  *[F.collect_set(F.when((kind == TEXT) & (n >= LEAST_PAGES) & (text < LEAST_IMPORTANCE) & where, code))
+                    .alias(name) for name, where in (("some", F.lit(True)), ("most", n * 2 > m))]))
+    # inside an unmarked article a text is stale only on most pages
+    parts = parts.withColumn("stale", F.when(F.col("marked") | F.col("far"), F.col("some")).otherwise(F.col("most")))
     return parts.select("host", "path", "pages", "marked", "stale", (
         PRESENTATION * F.least(F.lit(1.0), F.coalesce("style", F.lit(0.0)))
         + (1 - PRESENTATION) * F.coalesce("text", F.lit(1.0))

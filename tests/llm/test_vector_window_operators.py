@@ -234,3 +234,25 @@ def test_long_runs_and_leftmost_matches(spark):
         start = time.time()
         assert len(pii.candidates(frame).select("email").first()[0]) == 1
         assert time.time() - start < 30                      # a quadratic scan takes many minutes
+
+
+def test_pages_lose_no_text_to_unclosed_tags(spark):
+    from ordermill.llm import html_main
+    cases = {
+        "<article><p>one<datalist id=d><option value=a><option value=b></datalist><p>two</article>": "one two",
+        "<head><title>no</title><p>one": "one", "<head><meta charset=x><style>p{}</style><article>one</article>": "one",
+        "<article>one <audio src=x> two <audio src=y>no</audio> three</article>": "one two three",
+        "<article>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold</article>": "let x=2 hold",
+        "<p>one<svg><g><svg/><text>no</text></svg>two<object><object>no</object>no</object>three": "onetwothree",
+        "<p>one<select><option>no</select>two<canvas>three": "onetwothree", "<p>one<script>no</p>two": "one",
+        "<p>one<video controls/>two<noscript>no</noscript>": "onetwo", "<textarea>no</textarea>a<iframe src=x></iframe>b": "ab"}
+    rows = [(i, f"http://{i}.com/", h) for i, h in enumerate(cases)]
+    got = html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {rows[r["page_id"]][2]: r["text"] for r in got} == cases
+    # a sentence that a quarter of the articles of a host hold is theirs; one on most of them is not
+    site = [(i, f"http://a.com/{i}", f"<article><p>body {i * 31}<p>{'quoted words' if i % 4 == 0 else f'other {i}'}"
+             f"<p>All rights kept</article><div>{'see also' if i % 4 == 0 else f'end {i}'}</div>") for i in range(60)]
+    got = html_main.main_text(spark.createDataFrame(site, "page_id long, url string, html string")).collect()
+    texts = {r["page_id"]: r["text"] for r in got}
+    assert all(("quoted words" in texts[i]) == (i % 4 == 0) and "All rights" not in texts[i] for i in texts)
+    assert not any("see also" in t for t in texts.values())
