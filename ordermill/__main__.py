@@ -54,7 +54,7 @@ def main(argv=None) -> int:
         x = sub.add_parser(cmd)
         x.add_argument("--raw", required=True)
         if cmd == "create":
-            x.add_argument("--snapshots", action="store_true", help="batch tables as snapshot tables")
+            x.add_argument("--snapshots", action="store_true", help="as snapshot tables")
     e = sub.add_parser("expire")
     e.add_argument("--table", required=True)
     e.add_argument("--keep", type=int, default=2, help="versions to keep")

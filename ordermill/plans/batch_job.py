@@ -24,8 +24,7 @@ def run_clock() -> Column:
 
 def create_raw(spark: SparkSession, raw_root: str, snapshots: bool = False) -> list[str]:
     """Create the raw tables that are missing; their names.  With ``snapshots``
-    those that batch loads write are snapshot tables (stream sinks are folders
-    of batches either way)."""
+    they are snapshot tables, those that the stream writes too."""
     return create_tables(spark, raw_root.rstrip("/"), RAW_TABLES, SNAPSHOT_KEYS if snapshots else None)
 
 

@@ -72,6 +72,5 @@ RAW_TABLES = {
     **{name: (schema, []) for name, schema in REFERENCE_TABLES.items()},
 }
 
-# The keys of the raw tables that batch loads write: their NOT NULL columns.
-SNAPSHOT_KEYS = {name: [f.name for f in RAW_TABLES[name][0].fields if not f.nullable]
-                 for name in ("orders_batch", "orders_batch_errors", *REFERENCE_TABLES)}
+# The keys of the raw tables: their NOT NULL columns.
+SNAPSHOT_KEYS = {name: [f.name for f in schema.fields if not f.nullable] for name, (schema, _) in RAW_TABLES.items()}

@@ -18,6 +18,11 @@ with the table: every writer is held to it, whatever it knows itself.
 An upsert finds the partitions that hold one of its keys by joining its key
 digests with the index, reads only those and the ones it adds rows to, and
 replaces only them.  A digest that two keys share costs a partition read in vain.
+
+A stream appends its micro-batches under its run's name and batch number, which
+the version file notes: a replayed batch is known and adds nothing, even when its
+files have been merged with others since.  Appends that meet another writer try
+again on the new version.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ordermill.operators.dedup import duplicate_keys
+from ordermill.operators.dedup import dedup, duplicate_keys
 from ordermill.operators.upsert import upsert
 from ordermill.sources.files import delete_folder, enforce_not_null, file_system, partition_folder, table_exists
 
@@ -177,10 +182,41 @@ class SnapshotTable:
         folders = self._write(self._declared(df, state), state, self._next(state))
         return self._switch(state, folders)
 
-    def append(self, df: DataFrame) -> int:
+    def append(self, df: DataFrame, batch: tuple[str, int] | None = None, folders_at_most: int | None = None) -> int:
+        """Add rows.  ``batch`` (run, number): a batch of the run that is not newer
+        than its last one adds nothing.  ``folders_at_most``: partitions that come
+        to hold more folders than this are merged afterwards."""
         state = self.snapshot()
+        if batch and state.get("batches", {}).get(batch[0], -1) >= batch[1]:
+            return state["version"]
         folders = self._write(self._declared(df, state), state, self._next(state))
-        return self._switch(state, state["folders"] + folders)
+        while True:
+            more = {"batches": state.get("batches", {}) | {batch[0]: batch[1]}} if batch else {}
+            try:
+                version = self._switch(state | more, state["folders"] + folders)
+                break
+            except ConcurrentWrite:                          # rows are only added: they fit the newer version as well
+                state = self.snapshot()
+        return version if folders_at_most is None else self.compact(folders_at_most)
+
+    def compact(self, folders_at_most: int) -> int:
+        """Merge the folders of partitions that hold more than so many into one."""
+        state = self.snapshot()
+        of_partition = {}
+        for f in state["folders"]:
+            of_partition.setdefault(f.rpartition("/")[0], []).append(f)
+        crowded = [f for fs in of_partition.values() if len(fs) > folders_at_most for f in fs]
+        if not crowded:
+            return state["version"]
+        try:
+            return self._replace(state, crowded, self._scan("data", state["schema"], crowded))
+        except ConcurrentWrite:
+            return self.snapshot()["version"]                # the next batch tries again
+
+    def _replace(self, state: dict, old: list[str], rows: DataFrame, **more) -> int:
+        """Put ``rows`` in the place of the folders ``old``."""
+        folders = self._write(rows, state, self._next(state))
+        return self._switch(state | more, [f for f in state["folders"] if f not in set(old)] + folders)
 
     def _switch(self, state: dict, folders: list[str]) -> int:
         self._commit(state | {"version": state["version"] + 1, "folders": sorted(folders)})
@@ -234,28 +270,66 @@ class SnapshotTable:
         return version
 
     # -- checks and upkeep ------------------------------------------------------------
+    def _repeated(self, state: dict, before: set) -> tuple[DataFrame, list[str]]:
+        """(key digests that occur more than once and are in a folder not in
+        ``before``, live folders of the partitions that hold them)."""
+        parts = state["partition_by"]
+        new = self._index(state, [f for f in state["folders"] if f not in before]).select("digest").distinct()
+        every = self._index(state, state["folders"]).join(new, "digest", "left_semi")
+        twice = every.groupBy("digest").count().where("count > 1").select("digest")
+        if not parts:
+            return twice, list(state["folders"])
+        held = every.join(twice, "digest", "left_semi").select(*parts).distinct().collect()   # metadata
+        prefixes = {partition_folder(self.spark, parts, v) for v in held}
+        return twice, [f for f in state["folders"] if f.rpartition("/")[0] in prefixes]
+
     def duplicates_since(self, version: int) -> DataFrame:
         """Keys that occur more than once and came (again) after ``version``, with
         their count: the digests of the new folders meet the index, and only
         partitions with a repeated digest are read."""
-        state, before = self.snapshot(), set(self.snapshot(version)["folders"])
-        keys, parts = state["keys"], state["partition_by"]
-        new = self._index(state, [f for f in state["folders"] if f not in before]).select("digest").distinct()
-        every = self._index(state, state["folders"]).join(new, "digest", "left_semi")
-        twice = every.groupBy("digest").count().where("count > 1").select("digest")
-        prefixes = None
-        if parts:
-            held = every.join(twice, "digest", "left_semi").select(*parts).distinct().collect()
-            prefixes = {partition_folder(self.spark, parts, v) for v in held}
-        folders = [f for f in state["folders"] if prefixes is None or f.rpartition("/")[0] in prefixes]
-        rows = self._scan("data", state["schema"], folders).na.drop(subset=keys)
-        rows = rows.withColumn("digest", key_digest(keys)).join(twice, "digest", "left_semi").select(*keys)
-        return duplicate_keys(rows, keys)
+        state = self.snapshot()
+        return self._repeated_keys(state, *self._repeated(state, set(self.snapshot(version)["folders"])))
+
+    def _repeated_keys(self, state: dict, twice: DataFrame, folders: list[str]) -> DataFrame:
+        rows = self._scan("data", state["schema"], folders).na.drop(subset=state["keys"])
+        rows = rows.withColumn("digest", key_digest(state["keys"])).join(twice, "digest", "left_semi")
+        return duplicate_keys(rows.select(*state["keys"]), state["keys"])
+
+    def reconcile(self, order: list[str]) -> dict:
+        """Of every key keep the row that is first by ``order``.  A run looks for
+        keys among the folders added since the last one only, and reads and rewrites
+        only the partitions that hold a repeated key."""
+        state = self.snapshot()
+        keys = state["keys"]
+        twice, folders = self._repeated(state, set(state.get("reconciled", [])))
+        # partitions without a later copy are read, to find the first one, and stay as they are
+        repeated = self._repeated_keys(state, twice, folders)
+        before = repeated.count()
+        if before:
+            rows = self._scan("data", state["schema"], folders)
+            copies = rows.join(repeated.select(*keys), keys, "left_semi")
+            rest = [c for c in state["schema"].names if c not in (*keys, *order)]
+            kept = dedup(copies.select(*state["schema"].names), keys, order, keep="first", tie_break=rest)
+            parts, one = state["partition_by"], F.lit(1)
+            if parts:
+                count = copies.select(*parts, one.alias("n")).unionByName(kept.select(*parts, (-one).alias("n")))
+                losing = count.groupBy(*parts).agg(F.sum("n").alias("n")).where("n > 0").select(*parts).collect()   # metadata
+                prefixes = {partition_folder(self.spark, parts, v) for v in losing}
+                folders = [f for f in folders if f.rpartition("/")[0] in prefixes]
+                wanted = self.spark.createDataFrame(losing, copies.select(*parts).schema)
+                same = reduce(lambda a, b: a & b, [kept[c].eqNullSafe(wanted[c]) for c in parts])
+                kept = kept.join(F.broadcast(wanted), same, "left_semi")
+            others = self._scan("data", state["schema"], folders).join(repeated.select(*keys), keys, "left_anti")
+            self._replace(state, folders, others.select(*state["schema"].names).unionByName(kept))
+            state = self.snapshot()
+        after = self._repeated_keys(state, *self._repeated(state, set(state.get("reconciled", [])))).count()
+        self._switch(state | {"reconciled": state["folders"]}, state["folders"])
+        return {"duplicate_keys_before": before, "duplicate_keys_after": after}
 
     def expire(self, keep: int = 2) -> list[str]:
         """Forget all but the last ``keep`` versions and remove the folders that
         none of those has.  A writer at work keeps its folders: its commit number
-        is above the last version."""
+        is above the oldest version that is kept."""
         versions = self.versions()
         kept, gone = versions[-keep:], versions[:-keep]
         parts = self.snapshot()["partition_by"]
@@ -265,12 +339,12 @@ class SnapshotTable:
         removed = []
         fs, staging = file_system(self.spark, f"{self.path}/_staging")
         for lost in fs.listStatus(staging) if fs.exists(staging) else ():    # of runs that ended before their switch
-            if int(lost.getPath().getName().partition("-")[0]) <= versions[-1]:
+            if int(lost.getPath().getName().partition("-")[0]) <= kept[0]:
                 fs.delete(lost.getPath(), True)
         for kind in ("data", "index"):
             for folder in self._folders("*", parts, kind):
                 number = int(folder.rpartition("_commit=")[2].partition("-")[0])
-                if folder not in live and number <= versions[-1]:
+                if folder not in live and number <= kept[0]:
                     delete_folder(self.spark, f"{self.path}/{kind}/{folder}")
                     removed.append(f"{kind}/{folder}")
         return removed

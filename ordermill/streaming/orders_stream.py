@@ -33,12 +33,14 @@ from ordermill.operators import validate as V
 from ordermill.schemas import ERRORS, ORDERS_STREAM
 from ordermill.sources.files import enforce_not_null, read_table, table_exists
 from ordermill.sources.messages import decode_orders
+from ordermill.sources.snapshots import SnapshotTable
 from ordermill.streaming.panes import PANE_FIELDS, SECOND, with_panes
 
 log = logging.getLogger(__name__)
 
 GOOD, BAD = "good", "bad"
 COUNTERS = "validated_messages"
+FOLDERS_AT_MOST = 16             # folders of a partition of a snapshot sink before they are merged
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -106,16 +108,27 @@ def _paned(keyed: DataFrame, window_s: int, early_s: int) -> DataFrame:
 
 def write_batch(good_path: str, bad_path: str, run_name: str = "0", schema: StructType = ORDERS_STREAM):
     """foreachBatch function: both sinks from one micro-batch, idempotent per
-    run and batch id (a replay overwrites its own folder, never another run's)."""
+    run and batch id: a replay overwrites its own folder, never another run's; a
+    snapshot table knows the batches it holds, and merges partitions of many
+    small batches as it goes."""
+    def put(rows: DataFrame, path: str, batch_id: int) -> bool:
+        table = SnapshotTable(rows.sparkSession, path)
+        if table.exists():
+            table.append(rows, (run_name, batch_id), FOLDERS_AT_MOST)
+            return True
+        return False
+
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             good = enforce_not_null(batch.where(F.col("kind") == GOOD).select("good.*"), schema)
             bad = enforce_not_null(batch.where(F.col("kind") == BAD).select("bad.*"), ERRORS)
-            (good.hint("rebalance", "order_date").write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy("order_date")
-             .parquet(f"{good_path}/batch_id={run_name}-{batch_id}"))
-            bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={run_name}-{batch_id}")
+            good_done, bad_done = put(good, good_path, batch_id), put(bad, bad_path, batch_id)
+            if not good_done:
+                (good.hint("rebalance", "order_date").write.mode("overwrite").option("partitionOverwriteMode", "static")
+                 .partitionBy("order_date").parquet(f"{good_path}/batch_id={run_name}-{batch_id}"))
+            if not bad_done:
+                bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={run_name}-{batch_id}")
         finally:
             batch.unpersist()
     return run
@@ -179,6 +192,9 @@ def start(messages: DataFrame, good_path: str, bad_path: str, checkpoint: str,
     (how often new messages are taken up) or {"availableNow": True} for a catch-up
     run.  ``early_s``: fire panes, early ones after so many seconds."""
     spark = messages.sparkSession
+    stored = SnapshotTable(spark, good_path)
+    if early_s is not None and stored.exists() and "pane" not in stored.snapshot()["schema"].names:
+        stored.evolve(good_schema(early_s))
     check_sink(spark, good_path, ORDERS_STREAM, sinks_must_exist)
     check_sink(spark, bad_path, ERRORS, sinks_must_exist)
     # Dedup state lives in RocksDB (off-heap, spills to local disk, snapshots

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators.dedup import duplicate_keys, reconcile
 from ordermill.sources.files import finish_replacement, pending_folder
+from ordermill.sources.snapshots import SnapshotTable
 
 
 def _in_partitions(df: DataFrame, partitions: DataFrame, columns: list[str]) -> DataFrame:
@@ -26,8 +27,12 @@ def reconcile_sink(spark: SparkSession, path: str, keys=("order_id",),
     add its batches meanwhile.  Their new rows are written whole to a pending
     folder beside the sink before anything is replaced; a lost run is
     finished by the next one.  No window meets all copies of a key: the copy
-    to keep comes from a group limit, the touched partitions from counts."""
+    to keep comes from a group limit, the touched partitions from counts.  A
+    snapshot table looks only for keys added since its last reconciliation."""
     keys = list(keys)
+    table = SnapshotTable(spark, path)
+    if table.exists():
+        return table.reconcile(list(order))
     parts = [c for c in partition_by if c in spark.read.parquet(path).columns]
     finish_replacement(spark, path, parts)
     table = spark.read.parquet(path)

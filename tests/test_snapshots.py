@@ -134,3 +134,70 @@ def test_raw_tables_as_snapshots(spark, tmp):
     assert sorted((r["order_id"], str(r["order_date"])) for r in stored.read().collect()) == [("A", "2026-06-01"), ("C", "2026-05-30")]
     assert files.read_table(spark, f"{raw}/orders_batch_errors").count() == 1
     assert json.loads(open(f"{raw}/orders_batch/_snapshots/{0:020d}.json").read())["keys"] == ["order_id"]
+
+
+def test_many_batches_give_few_folders_and_replays_nothing(spark, table):
+    start = table.read().count()
+    for n in range(12):
+        table.append(spark.createDataFrame([(f"b{n}", DAY[21], n)], SCHEMA), ("run", n), folders_at_most=4)
+    held = [f for f in table.snapshot()["folders"] if f.startswith(f"p={DAY[21]}/")]
+    assert len(held) <= 4 and table.read().count() == start + 12
+    version = table.snapshot()["version"]
+    table.append(spark.createDataFrame([("b3", DAY[21], 3)], SCHEMA), ("run", 3), folders_at_most=4)     # merged since
+    assert table.snapshot()["version"] == version and table.read().count() == start + 12
+    table.append(spark.createDataFrame([("b3", DAY[21], 3)], SCHEMA), ("other run", 0))
+    assert table.read().count() == start + 13
+    table.expire(2)
+    assert len(table.versions()) == 2 and table.read().count() == start + 13
+
+
+def test_an_append_that_meets_another_writer_tries_again(spark, table, monkeypatch):
+    write = SnapshotTable._write
+
+    def overtaken(self, rows, state, tag):
+        folders = write(self, rows, state, tag)
+        monkeypatch.setattr(SnapshotTable, "_write", write)
+        SnapshotTable(spark, table.path).append(spark.createDataFrame([("first", DAY[1], 0)], SCHEMA))
+        return folders
+    monkeypatch.setattr(SnapshotTable, "_write", overtaken)
+    table.append(spark.createDataFrame([("second", DAY[1], 0)], SCHEMA), ("run", 0))
+    assert table.read().where("k in ('first', 'second')").count() == 2
+
+
+def test_reconciliation_looks_at_new_folders_only(spark, table):
+    schema = SCHEMA
+    assert table.reconcile(["v"]) == {"duplicate_keys_before": 0, "duplicate_keys_after": 0}
+    table.append(spark.createDataFrame([("k3", DAY[21], 500), ("k3", DAY[22], -5), ("k4", DAY[4], 900), ("new", DAY[22], 1)], schema))
+    before = set(table.snapshot()["folders"])
+    assert table.reconcile(["v"]) == {"duplicate_keys_before": 2, "duplicate_keys_after": 0}
+    got = [r for r in _rows(table.read()) if r[0] in ("k3", "k4", "new")]
+    assert got == [("k3", DAY[22], -5), ("k4", DAY[4], 4), ("new", DAY[22], 1)] and table.read().count() == 201
+    gone = {f.split("/")[0] for f in before - set(table.snapshot()["folders"])}
+    assert gone == {f"p={DAY[i]}" for i in (3, 4, 21)}          # day 22 loses nothing and is not rewritten
+    state = table.snapshot()
+    _, folders = table._repeated(state, set(state["reconciled"]))
+    assert folders == []                                        # nothing new: no rows are read
+
+
+def test_stream_into_snapshot_tables(spark, tmp):
+    from ordermill.sources.messages import read_message_stream
+    from ordermill.streaming.orders_stream import start
+    from ordermill.streaming.reconcile import reconcile_sink
+    raw = f"{tmp}/raw"
+    create_raw(spark, raw, snapshots=True)
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+
+    def run(checkpoint, *ids, early=None):
+        texts = [json.dumps(dict(GOOD, order_id=i, source_system="stream", event_timestamp=stamp)) for i in ids] + ["bad"]
+        spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.text(f"{tmp}/{checkpoint}-in")
+        q = start(read_message_stream(spark, f"{tmp}/{checkpoint}-in"), f"{raw}/orders_stream", f"{raw}/orders_stream_errors",
+                  f"{tmp}/{checkpoint}", trigger={"availableNow": True}, sinks_must_exist=True, early_s=early)
+        assert q.awaitTermination(120) and q.exception() is None
+    run("ck1", "A", "B")
+    run("ck2", "A", "C", early=30)
+    good = files.read_table(spark, f"{raw}/orders_stream")
+    assert sorted(r["order_id"] for r in good.collect()) == ["A", "A", "B", "C"]
+    assert good.where("pane is null").count() == 2
+    assert reconcile_sink(spark, f"{raw}/orders_stream") == {"duplicate_keys_before": 1, "duplicate_keys_after": 0}
+    assert files.read_table(spark, f"{raw}/orders_stream").count() == 3
+    assert files.read_table(spark, f"{raw}/orders_stream_errors").count() == 2
