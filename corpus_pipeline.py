@@ -16,6 +16,11 @@ from ordermill.llm.queries import table, tokenizer_file
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+# Fixed value: the bytes of one UTF-8 character, or a byte that is none.
+CHARACTER = (r"([\x00-\x7F]+|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}"
+             r"|\xED[\x80-\x9F][\x80-\xBF]|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}"
+             r"|\xF4[\x80-\x8F][\x80-\xBF]{2})|[\x80-\xFF]")
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier keeps, unchanged."""
@@ -36,10 +41,11 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the bytes an earlier one has; a character that
-    lost some of its bytes goes whole."""
+    lost some of its bytes goes whole, and no other."""
     cut = suffix_dedup.remove_repeats(docs, with_kept=True, extra=("lang", "source"))
-    text = F.when(F.is_valid_utf8(F.col("kept").cast("string")), F.col("kept").cast("string")).otherwise(
-        F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    kept = F.col("kept").cast("string")
+    whole = F.regexp_replace(F.decode("kept", "ISO-8859-1"), CHARACTER, "$1")     # a letter per byte
+    text = F.when(F.is_valid_utf8(kept), kept).otherwise(F.encode(whole, "ISO-8859-1").cast("string"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
