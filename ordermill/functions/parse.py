@@ -1,8 +1,6 @@
 """Strict text-to-type parsing with the rules of the ingest contract.
 
-Each parser returns null when the text is not acceptable; ``invalid(text,
-parsed)`` is the matching error predicate ("text present, value absent").
-All use try_* casts so that ANSI mode never raises inside a job.
+Each parser returns null when the text is not acceptable.  All use try_* casts so that ANSI mode never raises inside a job.
 """
 
 from pyspark.sql import Column
@@ -53,10 +51,6 @@ def strict_event_ts(c) -> Column:
     return F.when(c.rlike(EVENT_TS_PATTERN), F.try_to_timestamp(c, F.lit(EVENT_TS_FORMAT)))
 
 
-def invalid(text, parsed: Column) -> Column:
-    return _col(text).isNotNull() & parsed.isNull()
-
-
 def blank_to_null(c) -> Column:
     c = _col(c)
     return F.when(c != "", c)

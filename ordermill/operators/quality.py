@@ -29,10 +29,6 @@ STAR_SCHEMA_CHECKS = [
 ]
 
 
-def not_null_failures(df: DataFrame, col: str) -> DataFrame:
-    return df.where(F.col(col).isNull())
-
-
 def unique_failures(df: DataFrame, cols) -> DataFrame:
     """Keys (non-null) that occur more than once, with their count."""
     cols = [cols] if isinstance(cols, str) else list(cols)

@@ -13,12 +13,6 @@ from ordermill.functions.money import revenue
 from ordermill.operators.dedup import dedup
 from ordermill.operators.upsert import high_water_mark, incremental_merge, upsert
 
-FACT_COLUMNS = [
-    "order_id", "customer_key", "product_key", "campaign_key", "region_id", "order_date",
-    "order_date_formatted", "quantity", "unit_price", "discount", "shipping_cost", "revenue",
-    "payment_method", "delivery_days", "returned_flag", "order_status", "warehouse_region",
-    "customer_rating", "source_system", "loaded_at"]
-
 
 def int_orders_unioned(stg_batch: DataFrame, stg_stream: DataFrame) -> DataFrame:
     """Batch and stream orders in one layer, newest copy (loaded_at) per
