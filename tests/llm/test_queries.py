@@ -52,3 +52,12 @@ def test_near_copies_of_rows_that_share_an_id(spark):
                                   "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_copies_stage(spark, frame, SF_SMALL).collect()
     assert sorted(((r["doc_id"], r["text"][0]) for r in kept), key=str) == [(2, "b"), (5, "a"), (7, "c"), (None, "d")]
+
+
+def test_only_cut_characters_go_with_a_repeat(spark):
+    shared = " ".join(f"w{i * i % 89}" for i in range(30))
+    rows = [(1, "é" + shared), (2, "�ĩ" + shared + "� end é")]        # both letters end in the same byte
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.repeats_stage(spark, frame, SF_SMALL).collect()}
+    assert kept == {1: (rows[0][1], len(rows[0][1])), 2: ("�� end é", 8)}
