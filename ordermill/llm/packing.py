@@ -3,12 +3,17 @@
 Documents are tokenized word by word (a bounded memory of words already
 seen; a word's ids never depend on its neighbours).  A document longer than a
 window gives its full windows at once; what is left of it, and every shorter
-document, goes to a shard, chosen by hash and sized by its number of
-documents.  Each shard
-builds an inverted index of its remainders and fills windows greedily: the
-seed asks the index for unused neighbours by BM25 and takes them in order of
-score until the window is full; the last one is cut and its rest seeds the
-next window, so only the last window of a shard is padded.
+document, is a remainder.  Document frequencies, the number of remainders and
+their mean length are counted over the whole corpus while it is tokenized.
+
+Remainders that share their weighty terms meet in a shard: each draws a few
+terms, a term with a chance proportional to its BM25 weight, and by the same
+random numbers in every document, so that like documents draw the same ones.
+Sorted by the drawn terms they are cut into shards of equal numbers.  Each
+shard builds an inverted index of its remainders and fills windows greedily:
+the seed asks the posting lists of its terms for unused neighbours and takes
+them in order of score until the window is full; the last one is cut and its
+rest seeds the next window, so only the last window of a shard is padded.
 """
 
 from __future__ import annotations
@@ -19,13 +24,16 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import id_text
+from ordermill.llm.common import id_text, mix64, shuffle_partitions, staged
 
 WINDOW, END_ID = 4096, 2
-SHARD_DOCS = 1200               # documents per shard; none sends it more than a window of ids
+SHARD_DOCS = 1200               # remainders per shard; each is less than a window of ids
+TERMS = 1 << 16                 # ids are 16-bit
+DRAWS = 4                       # terms a remainder draws to find its shard
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 900_000, 32
 TOKENIZER = "word_bpe_49k.json"
@@ -98,133 +106,231 @@ def _crc(ids: bytes) -> int:
     return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
 
 
-PIECE = "shard int, doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
+PIECE = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
+_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+_NAMES = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
+COUNTS = -1                     # ``start`` of the row that holds a partition's counts
 
 
-def _tokenize(path, shards, end_id, window, keep_ids):
+def _rows(rows, types, names):
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _postings(ids):
+    """(document, term, occurrences) of up to 2^16 remainders, by document and term;
+    the end mark, last in each, is no term."""
+    flat = np.frombuffer(b"".join(x[:-2] for x in ids), "<u2")
+    doc = np.repeat(np.arange(len(ids), dtype=np.uint32), [len(x) // 2 - 1 for x in ids])
+    key = doc << np.uint32(16) | flat
+    key.sort()
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    tf = np.diff(np.r_[first, len(key)]).astype(np.float32)
+    return (key[first] >> np.uint32(16)).astype(np.int64), (key[first] & np.uint32(TERMS - 1)).astype(np.int64), tf
+
+
+class Statistics:
+    """Counts of a corpus of remainders, and the BM25 weights they give."""
+
+    def __init__(self, docs: int, tokens: int, df: np.ndarray):
+        self.mean = max(tokens / docs, 1) if docs else 1
+        self.idf = np.log(1 + (docs - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+    @classmethod
+    def of(cls, ids):
+        return cls(len(ids), sum(len(x) // 2 for x in ids), np.bincount(_postings(ids)[1], minlength=TERMS))
+
+    def weights(self, ids, doc, term, tf):
+        size = np.array([len(x) // 2 for x in ids], np.float32)
+        norm = (K1 * (1 - B + B * size / self.mean)).astype(np.float32)
+        return self.idf[term] * tf * np.float32(K1 + 1) / (tf + norm[doc])
+
+
+def _tokenize(path, end_id, window, keep_ids):
     tail = np.array([end_id], "<u2").tobytes()
 
     def run(batches):
-        import xxhash
         words = Words.of(path)
+        docs, tokens, df = 0, 0, np.zeros(TERMS, np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 texts = part.column("text").to_pylist()
-                out = []
-                for doc, text, ids in zip(part.column("doc_id").to_pylist(), texts, words.ids(texts)):
+                out, rest = [], []
+                for doc, ids in zip(part.column("doc_id").to_pylist(), words.ids(texts)):
                     ids += tail
                     n = len(ids) // 2
-                    shard = xxhash.xxh64_intdigest(f"{doc}:{n}") % shards
                     whole = n - n % window
                     for at in range(0, whole, window):
                         piece = ids[2 * at: 2 * (at + window)]
-                        out.append((shard, doc, at, window, n, _crc(piece), piece if keep_ids else None))
+                        out.append((doc, at, window, n, _crc(piece), piece if keep_ids else None))
                     if whole < n:
-                        out.append((shard, doc, whole, n - whole, n, None, ids[2 * whole:]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], names=_NAMES)
+                        rest.append(ids[2 * whole:])
+                        out.append((doc, whole, n - whole, n, None, rest[-1]))
+                docs, tokens = docs + len(rest), tokens + sum(len(x) // 2 for x in rest)
+                df += np.bincount(_postings(rest)[1], minlength=TERMS)
+                yield _rows(out, _TYPES, _NAMES)
+        if docs:
+            yield _rows([(None, COUNTS, docs, tokens, None, df.astype("<i8").tobytes())], _TYPES, _NAMES)
     return run
 
 
-_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-_NAMES = ["shard", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
+def _counted(batches):
+    """(term, remainders that hold it) of the counts of each partition; term -1: remainders, -2: tokens."""
+    for batch in batches:
+        for docs, tokens, counts in zip(*[batch.column(c).to_pylist() for c in ("length", "doc_tokens", "ids")]):
+            df = np.frombuffer(counts, "<i8")
+            term = np.flatnonzero(df)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, -2, term].astype(np.int32)),
+                                              pa.array(np.r_[docs, tokens, df[term]])], names=["term", "n"])
+
+
+def _statistics(pieces: DataFrame) -> tuple[int, Statistics]:
+    """(remainders, statistics) of the corpus; the driver gets one row per term of the vocabulary."""
+    counts = pieces.where(F.col("start") == COUNTS).mapInArrow(_counted, "term int, n long")
+    total = {r["term"]: r["n"] for r in counts.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    docs, tokens = total.pop(-1, 0), total.pop(-2, 0)
+    df = np.zeros(TERMS, np.int64)
+    df[list(total)] = list(total.values())
+    return docs, Statistics(docs, tokens, df)
+
+
+def _clocks():
+    """Waiting times of every term, one row per draw: exponential, the same in every task."""
+    at = np.arange(1, DRAWS * TERMS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    with np.errstate(over="ignore"):
+        h = mix64(mix64(at))
+    return -np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53).reshape(DRAWS, TERMS).astype(np.float32)
+
+
+def draws(ids, stats: Statistics, clocks) -> np.ndarray:
+    """The terms each remainder draws (a row each): that of the shortest waiting time, where a
+    term's time is its clock's divided by its weight; -1 where there is no term."""
+    doc, term, tf = _postings(ids)
+    weight = np.maximum(stats.weights(ids, doc, term, tf), np.float32(1e-9))
+    start = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
+    out = np.full((len(ids), DRAWS), -1, np.int64)
+    for i in range(DRAWS if len(doc) else 0):
+        time = clocks[i][term] / weight
+        least = np.repeat(np.minimum.reduceat(time, start), np.diff(np.r_[start, len(doc)]))
+        won = np.flatnonzero(time == least)[::-1]             # of equal times the smallest term
+        out[doc[won], i] = term[won]
+    return out
+
+
+ROUTE = [f"draw{i}" for i in range(DRAWS)]
+
+
+def _route(stats):
+    """Pieces with the terms they draw, and a salt that spreads pieces alike in everything."""
+    def run(batches):
+        clocks, row = _clocks(), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                salt = mix64(np.arange(row, row + part.num_rows, dtype=np.uint64)).astype(np.int64)
+                row += part.num_rows
+                full = np.array([c is not None for c in part.column("ids_crc32").to_pylist()])
+                drawn = np.full((part.num_rows, DRAWS), -1, np.int64)
+                drawn[full, 0] = salt[full] & (TERMS - 1)     # windows that are full already go anywhere
+                drawn[~full] = draws(part.column("ids").filter(pa.array(~full)).to_pylist(), stats, clocks)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *[pa.array(c) for c in drawn.T], pa.array(salt)], names=[*_NAMES, *ROUTE, "salt"])
+    return run
 
 
 class Index:
-    """Index of a shard's remainders; document-term weights are final BM25 parts."""
-
-    def __init__(self, ids):
-        size = np.array([len(x) // 2 for x in ids], np.int64)
-        flat = np.frombuffer(b"".join(ids), "<u2")
-        doc = np.repeat(np.arange(len(ids), dtype=np.uint64), size)
-        key = (flat.astype(np.uint64) << np.uint64(40)) | doc              # term, then document
-        key.sort()
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        tf = np.diff(np.r_[first, len(key)]).astype(np.float32)
-        key = key[first]
-        term = (key >> np.uint64(40)).astype(np.int64)
-        doc = (key & np.uint64((1 << 40) - 1)).astype(np.int64)
-        df = np.bincount(term, minlength=1 << 16)
-        idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = K1 * (1 - B + B * size / max(size.mean(), 1) if len(size) else 1)
-        weight = idf[term] * tf * (K1 + 1) / (tf + np.asarray(norm, np.float32)[doc])
-        # a seed asks by all its terms, so documents are summed whole: the lists document by document
-        order = np.argsort(doc, kind="stable")
-        self.term, self.weight = term[order], weight[order]
-        self.start = np.searchsorted(doc[order], np.arange(len(ids)))
+    """Inverted index of a shard's remainders: a list of (document, BM25 part) per term."""
+
+    def __init__(self, ids, stats: Statistics | None = None):
+        doc, term, tf = _postings(ids)
+        weight = (stats or Statistics.of(ids)).weights(ids, doc, term, tf)
+        order = np.argsort(term, kind="stable")
+        self.docs, self.doc, self.weight = len(ids), doc[order], weight[order]
+        self.start = np.searchsorted(term[order], np.arange(TERMS + 1)).tolist()
 
     def neighbours(self, ids: bytes, free: np.ndarray) -> np.ndarray:
         """Free documents sharing a term (the end mark, last in ``ids``, is none), best score
         first, ties to the earlier one."""
-        ask = np.zeros(1 << 16, np.float32)
-        ask[np.frombuffer(ids, "<u2")[:-1]] = 1
-        score = np.add.reduceat(ask[self.term] * self.weight, self.start)
+        lists = [slice(self.start[t], self.start[t + 1]) for t in np.unique(np.frombuffer(ids, "<u2")[:-1]).tolist()]
+        if not lists:
+            return np.zeros(0, np.int64)
+        score = np.bincount(np.concatenate([self.doc[s] for s in lists]),
+                            np.concatenate([self.weight[s] for s in lists]), self.docs)
         hit = np.flatnonzero((score > 0) & free)
         return hit[np.argsort(-score[hit], kind="stable")]
 
 
-def _pack(window, keep_ids):
-    def run(key, table):
-        base = key[0].as_py() << 32
-        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("doc_tokens", "ascending")])
-        rows = table.to_pydict()
-        out, seq = [], 0
-        rest = []
-        for i, crc in enumerate(rows["ids_crc32"]):
-            if crc is None:
-                rest.append(i)
-            else:
-                out.append((rows["doc_id"][i], rows["start"][i], window, crc, rows["doc_tokens"][i],
-                            base + seq, 0, rows["ids"][i]))
-                seq += 1
-        ids = [rows["ids"][i] for i in rest]
-        index = Index(ids)
-        free = np.ones(len(rest), bool)
-        used = 0            # tokens in the open window
-
-        def place(r, at, n):
-            """Piece of remainder ``r`` from its token ``at``."""
-            nonlocal used, seq
-            i, piece = rest[r], ids[r][2 * at: 2 * (at + n)]
-            out.append((rows["doc_id"][i], rows["start"][i] + at, n, _crc(piece), rows["doc_tokens"][i],
-                        base + seq, used, piece if keep_ids else None))
-            used += n
-            if used == window:
-                seq, used = seq + 1, 0
-
-        at_seed, cut = 0, None                  # cut: (remainder, tokens of it already placed)
-        while True:
-            if cut is not None:
-                seed, done = cut
-                cut = None
-            else:
-                while at_seed < len(rest) and not free[at_seed]:
-                    at_seed += 1
-                if at_seed == len(rest):
-                    break
-                seed, done = at_seed, 0
-                free[seed] = False
-            left = len(ids[seed]) // 2 - done
-            room = window - used
-            place(seed, done, min(left, room))
-            if left > room:
-                cut = (seed, done + room)
-                continue
+def _fill(rest, stats, window, keep_ids, seq):
+    """(pieces, next sequence) of a shard: ``rest`` has (doc_id, start, doc_tokens, ids) per remainder."""
+    ids = [r[3] for r in rest]
+    index, free, out = Index(ids, stats), np.ones(len(rest), bool), []
+    used = 0                                # tokens in the open window
+
+    def place(r, at, n):
+        """Piece of remainder ``r`` from its token ``at``."""
+        nonlocal used, seq
+        doc, start, size, _ = rest[r]
+        piece = ids[r][2 * at: 2 * (at + n)]
+        out.append((doc, start + at, n, _crc(piece), size, seq, used, piece if keep_ids else None))
+        used += n
+        if used == window:
+            seq, used = seq + 1, 0
+
+    at_seed, cut = 0, None                  # cut: (remainder, tokens of it already placed)
+    while True:
+        if cut is not None:
+            seed, done = cut
+            cut = None
+        else:
+            while at_seed < len(rest) and not free[at_seed]:
+                at_seed += 1
+            if at_seed == len(rest):
+                break
+            seed, done = at_seed, 0
+            free[seed] = False
+        left = len(ids[seed]) // 2 - done
+        room = window - used
+        place(seed, done, min(left, room))
+        if left > room:
+            cut = (seed, done + room)
+            continue
+        if not used:
+            continue
+        for r in index.neighbours(ids[seed], free).tolist():
+            free[r] = False
+            n, room = len(ids[r]) // 2, window - used
+            place(r, 0, min(n, room))
+            if n > room:
+                cut = (r, room)
             if not used:
-                continue
-            for r in index.neighbours(ids[seed], free).tolist():
-                free[r] = False
-                n, room = len(ids[r]) // 2, window - used
-                place(r, 0, min(n, room))
-                if n > room:
-                    cut = (r, room)
-                if not used:
-                    break
-        cols = list(zip(*out)) or [[]] * 8
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-        arrays = [pa.array(c, pa.int64()) for c in cols[:7]] + [pa.array(cols[7], pa.binary())]
-        return pa.table(arrays if keep_ids else arrays[:7], names=names if keep_ids else names[:7])
+                break
+    return out, seq + (used > 0)
+
+
+def _pack(stats, window, keep_ids):
+    """Shards are cut from the sorted rows as they come; sequences are numbered by partition."""
+    types = [pa.int64()] * 7 + [pa.binary()]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+    columns = 8 if keep_ids else 7
+
+    def run(batches):
+        seq, rest = TaskContext.get().partitionId() << 40, []
+        for batch in batches:
+            out = []
+            for doc, start, n, size, crc, ids in zip(*[batch.column(c).to_pylist() for c in _NAMES]):
+                if crc is not None:
+                    out.append((doc, start, n, crc, size, seq, 0, ids))
+                    seq += 1
+                    continue
+                rest.append((doc, start, size, ids))
+                if len(rest) == SHARD_DOCS:
+                    filled, seq = _fill(rest, stats, window, keep_ids, seq)
+                    out, rest = out + filled, []
+            if out:
+                yield _rows([r[:columns] for r in out], types, names[:columns])
+        if rest:
+            out, seq = _fill(rest, stats, window, keep_ids, seq)
+            yield _rows([r[:columns] for r in out], types, names[:columns])
     return run
 
 
@@ -236,8 +342,12 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col="doc_id", text_col="text",
     Null and empty texts are one end id.  Repeated rows are packed once each;
     a null id stays null.  An empty table gives an empty result."""
     d = id_text(docs, id_col, text_col)
-    shards = d.count() // SHARD_DOCS + 1
-    pieces = d.mapInArrow(_tokenize(tokenizer_path, shards, end_id, window, keep_ids), PIECE)
-    return pieces.groupBy("shard").applyInArrow(
-        _pack(window, keep_ids), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    pieces = staged(d.mapInArrow(_tokenize(tokenizer_path, end_id, window, keep_ids), PIECE), "packing-pieces")
+    remainders, stats = _statistics(pieces)
+    parts = min(remainders // SHARD_DOCS + 1, shuffle_partitions(d.sparkSession))
+    routed = pieces.where(F.col("start") != COUNTS).mapInArrow(
+        _route(stats), PIECE + ", " + ", ".join(f"{c} long" for c in ROUTE) + ", salt long")
+    placed = routed.repartitionByRange(parts, *ROUTE, "salt").sortWithinPartitions(*ROUTE, "salt")
+    return placed.select(*_NAMES).mapInArrow(
+        _pack(stats, window, keep_ids), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long" + (", ids binary" if keep_ids else ""))
