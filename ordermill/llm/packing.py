@@ -36,6 +36,7 @@ TERMS = 1 << 16                 # ids are 16-bit
 DRAWS = 4                       # terms a remainder draws to find its shard
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 900_000, 32
+LINE_WORDS = 64                 # words encoded at a time
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -77,6 +78,20 @@ class Words:
         whole = len(last) == 1 and last <= LAST_LATIN and last.isalnum()
         return (core, word[len(core):]) if whole else (word, "")
 
+    def encoded(self, words):
+        """{word: ids}; words that hold no special token are encoded many at a time, a blank
+        between them, and told apart by the places their ids come from."""
+        plain = [w for w in words if SPECIAL not in w]
+        lines = [plain[i:i + LINE_WORDS] for i in range(0, len(plain), LINE_WORDS)]
+        lines += [[w] for w in words if SPECIAL in w]
+        found = {}
+        for line, e in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
+            begin = np.cumsum([0] + [len(w) + 1 for w in line])
+            cut = np.searchsorted([a for a, _ in e.offsets], begin).tolist()
+            ids = array("H", e.ids).tobytes()
+            found.update((w, ids[2 * a: 2 * b]) for w, a, b in zip(line, cut, cut[1:]))
+        return found
+
     def ids(self, texts):
         """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,
         over which no pre-token reaches."""
@@ -90,8 +105,7 @@ class Words:
             new = {words[i] for i in missing}
             parts = {w: self.core(w) for w in new}
             cores = list({c for p in parts.values() for c in p}.difference(known))
-            fresh = {c: array("H", e.ids).tobytes() for c, e in zip(
-                cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False))}
+            fresh = self.encoded(cores)
             whole = {w: (fresh[c] if c in fresh else known[c]) + (fresh[m] if m in fresh else known[m])
                      for w, (c, m) in parts.items()}
             for i in missing:
@@ -245,7 +259,7 @@ class Index:
         doc, term, tf = _postings(ids)
         weight = (stats or Statistics.of(ids)).weights(ids, doc, term, tf)
         order = np.argsort(term, kind="stable")
-        self.docs, self.doc, self.weight = len(ids), doc[order], weight[order]
+        self.docs, self.doc, self.weight = len(ids), doc[order], weight[order].astype(np.float64)
         self.start = np.searchsorted(term[order], np.arange(TERMS + 1)).tolist()
 
     def neighbours(self, ids: bytes, free: np.ndarray) -> np.ndarray:
