@@ -253,23 +253,37 @@ def _route(stats):
 
 
 class Index:
-    """Inverted index of a shard's remainders: a list of (document, BM25 part) per term."""
+    """Inverted index of a shard's remainders: a list of (document, BM25 part) per term.  Lists that
+    name more than every fourth document are kept as rows of a part per document instead."""
 
     def __init__(self, ids, stats: Statistics | None = None):
         doc, term, tf = _postings(ids)
         weight = (stats or Statistics.of(ids)).weights(ids, doc, term, tf)
+        wide = np.bincount(term, minlength=TERMS) > len(ids) / 4
+        self.row = np.where(wide, np.cumsum(wide) - 1, -1)
+        self.wide = np.zeros((int(wide.sum()), len(ids)), np.float32)
+        at = wide[term]
+        self.wide[self.row[term[at]], doc[at]] = weight[at]
+        doc, term, weight = doc[~at], term[~at], weight[~at]
         order = np.argsort(term, kind="stable")
         self.docs, self.doc, self.weight = len(ids), doc[order], weight[order].astype(np.float64)
-        self.start = np.searchsorted(term[order], np.arange(TERMS + 1)).tolist()
+        self.start = np.searchsorted(term[order], np.arange(TERMS + 1))
 
     def neighbours(self, ids: bytes, free: np.ndarray) -> np.ndarray:
         """Free documents sharing a term (the end mark, last in ``ids``, is none), best score
         first, ties to the earlier one."""
-        lists = [slice(self.start[t], self.start[t + 1]) for t in np.unique(np.frombuffer(ids, "<u2")[:-1]).tolist()]
-        if not lists:
-            return np.zeros(0, np.int64)
-        score = np.bincount(np.concatenate([self.doc[s] for s in lists]),
-                            np.concatenate([self.weight[s] for s in lists]), self.docs)
+        asked = np.zeros(TERMS, bool)
+        asked[np.frombuffer(ids, "<u2")[:-1]] = True
+        terms = np.flatnonzero(asked)
+        rows = self.row[terms]
+        ask = np.zeros(len(self.wide), np.float32)
+        ask[rows[rows >= 0]] = 1
+        score = (ask @ self.wide).astype(np.float64)
+        first, last = self.start[terms], self.start[terms + 1]
+        lists = [slice(a, b) for a, b in zip(first.tolist(), last.tolist()) if a < b]
+        if lists:
+            score += np.bincount(np.concatenate([self.doc[s] for s in lists]),
+                                 np.concatenate([self.weight[s] for s in lists]), self.docs)
         hit = np.flatnonzero((score > 0) & free)
         return hit[np.argsort(-score[hit], kind="stable")]
 
