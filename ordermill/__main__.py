@@ -69,7 +69,9 @@ def main(argv=None) -> int:
     li = sub.add_parser("lineage")
     li.add_argument("--raw", required=True)
     li.add_argument("--models", help="list the stored models a build would renew")
-    sub.add_parser("quality").add_argument("--models", required=True)
+    q = sub.add_parser("quality")
+    q.add_argument("--models", required=True)
+    q.add_argument("--orders-since", type=int, metavar="VERSION", help="only: order ids repeated since a version of the fact")
     g = sub.add_parser("governed")
     g.add_argument("--models", required=True)
     g.add_argument("--principal", required=True)
@@ -135,6 +137,9 @@ def main(argv=None) -> int:
         else:
             df = spark.createDataFrame(model_edges(StoredRaw(spark, a.raw), REPORTS), "model string, input string")
             a.show, a.out = 1000, None
+    elif a.cmd == "quality" and a.orders_since is not None:
+        from ordermill.plans.build_job import Built
+        Built(spark, a.models).repeated_orders(a.orders_since).show(truncate=False)
     elif a.cmd == "quality":
         from ordermill.plans.build_job import Built
         failures = Built(spark, a.models).quality().collect()  # one row per declared check

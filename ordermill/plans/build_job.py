@@ -114,6 +114,11 @@ class Built:
     def quality(self) -> DataFrame:
         return Q.run_suite(self.tables)
 
+    def repeated_orders(self, since: int) -> DataFrame:
+        """Order ids the fact holds more than once that came (again) after its version
+        ``since``: the uniqueness check of a load, by its new keys only."""
+        return SnapshotTable(self.spark, f"{self.root}/fact_orders").duplicates_since(since)
+
     def row_counts(self) -> DataFrame:
         return Q.row_counts(self.tables)
 

@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.__main__ import main
-from ordermill.plans.build_job import REPORTS, Built, build
+from ordermill.plans.build_job import LAYER, REPORTS, Built, build
 from ordermill.plans.model import Models, StoredRaw
 from ordermill.schemas import ORDER_COLUMNS, ORDERS_STREAM, RAW_TABLES
 from ordermill.sources import files
 from ordermill.sources.messages import read_message_stream
+from ordermill.sources.snapshots import SnapshotTable
 from ordermill.streaming.orders_stream import RunCounters, start
 from ordermill.streaming.reconcile import reconcile_sink
 from tests.helpers import GOOD
@@ -184,3 +185,16 @@ def test_reconciliation_rewrites_touched_partitions_only(spark, tmp):
     assert not os.path.exists(f"{tmp}/t/batch_id=r-1/order_date=2026-05-01")
     got = sorted((r["order_id"], r["batch_id"]) for r in spark.read.parquet(f"{tmp}/t").collect())
     assert got == [("A", "r-0"), ("B", "r-0"), ("C", "r-1")]
+
+
+def test_uniqueness_of_a_load_by_its_new_keys(spark, tmp):
+    path = f"{tmp}/models/{LAYER}/fact_orders"
+    rows = lambda *ids: spark.createDataFrame([(i, "2024-01-0" + str(1 + n)) for n, i in enumerate(ids)], "order_id string, day string")
+    table = SnapshotTable(spark, path)
+    table.create(rows("a").schema, ["order_id"], ["day"])
+    first = table.append(rows("a", "b", "a"))
+    second = table.append(rows("b", "c"))
+    built = Built(spark, f"{tmp}/models")
+    found = lambda since: sorted(map(tuple, built.repeated_orders(since).collect()))
+    assert found(0) == [("a", 2), ("b", 2)]
+    assert found(first) == [("b", 2)] and found(second) == []
