@@ -11,8 +11,9 @@ blank if one is near, else anywhere.  The state at a border is how many
 characters the piece that crosses it reaches over.  Each chunk yields a matrix: best score from each entry state to each
 exit state.  Matrices combine associatively under (max, +); the running
 products give the state at every border, and then every chunk is traced back
-on its own.  Inside a chunk, text between places no piece crosses is
-segmented once and remembered.
+on its own.  Inside a chunk, text is cut wherever two bytes meet that lie side by
+side in no piece; what is between the cuts is segmented once, many such texts
+at a time, and remembered.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ SHIFT = 24                  # bits below a score for the tie-breaking part
 NONE, ONLY = -(1 << 62), 1
 LEAST_SCORE = -(1 << 17)    # scores below it ("never") count as it, so sums of a chunk fit 62 bits
 CACHE, CACHE_CHARS = 450_000, 32
+PART = 1 << 22              # bytes of text segmented at a time
 # A piece may begin with blanks but has none after another character, and no line end (checked on load).
-SEGMENT = re.compile(r" *[^ \n]+|\n| +")
 BORDER, NEAR = re.compile(r"[^ ](?= )"), 1024
 SPACE = "▁"            # how the vocabulary writes a blank
 
@@ -74,6 +75,36 @@ class Vocabulary:
         steps.update(weights)
         self.steps = steps
         self.weights, self.cache = weights, {}
+        self.apart = np.ones((256, 256), bool)              # bytes side by side in no piece
+        for p in weights:
+            b = np.frombuffer(p.encode(), np.uint8)
+            self.apart[b[:-1], b[1:]] = False
+        self.apart[:, 0x80:0xC0] = False                    # inside a character
+        self._trie()
+
+    def _trie(self):
+        """The beginnings of pieces as nodes; an edge lies in the table at its node's base plus its
+        character's class, and names its node there.  Class 0 is on no edge."""
+        node = {p: i for i, p in enumerate(["", *self.steps])}
+        chars = sorted({p[-1] for p in self.steps})
+        self.classes = np.zeros(0x110000, np.int32)
+        self.classes[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        edges = {}
+        for p, i in node.items():
+            if p:
+                edges.setdefault(node[p[:-1]], []).append((int(self.classes[ord(p[-1])]), i))
+        self.base = np.zeros(len(node), np.int64)
+        slots = 4 * len(node)
+        self.owner, self.child = np.full(slots + len(chars) + 1, -1, np.int32), np.zeros(slots + len(chars) + 1, np.int32)
+        places = np.random.default_rng(7)
+        for i in sorted(edges, key=lambda i: -len(edges[i])):
+            at, to = map(np.array, zip(*edges[i]))
+            while (self.owner[(base := int(places.integers(slots))) + at] >= 0).any():
+                pass
+            self.base[i], self.owner[base + at], self.child[base + at] = base, i, to
+        self.worth = np.array([NONE, *[NONE if w == ONLY else w for w in self.steps.values()]])
+        self.piece = np.array([-1, *[self.ids.get(p, -1) for p in self.steps]], np.int32)
+        self.alone = np.array([True, *[c not in self.weights for c in chars]])      # by class: characters without a piece
 
     def forward(self, text, start, reach=0):
         """Best weights and previous places at each position from ``start`` weights
@@ -124,8 +155,95 @@ class Vocabulary:
                 self.cache[text] = known
         return known
 
+    def _solved(self, texts):
+        """What ``segment`` gives for each of many short texts, found side by side: places in
+        order, at each the pieces that begin there by length, so equal sums end alike."""
+        texts = sorted(texts, key=len, reverse=True)
+        size = np.array(list(map(len, texts)))
+        n, longest = len(texts), int(size[0])
+        code = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        place = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+        chars = np.zeros((longest, n), np.int32)
+        chars[place, np.repeat(np.arange(n), size)] = self.classes[code]
+        best = np.full((longest + 1, n), NONE)
+        back, piece = np.zeros((longest + 1, n), np.int32), np.full((longest + 1, n), -1, np.int32)
+        best[0] = 0
+        for i in range(longest):
+            m = int(np.searchsorted(-size, -i))             # texts longer than i
+            start, at, node = best[i], np.arange(m), np.zeros(m, np.int64)
+            won = np.flatnonzero(self.alone[chars[i, :m]] & (start[:m] + self.unknown > best[i + 1, :m]))
+            best[i + 1, won], back[i + 1, won], piece[i + 1, won] = start[won] + self.unknown, i, -1
+            for j in range(i, longest):
+                slot = self.base[node] + chars[j, at]
+                on = np.flatnonzero(self.owner[slot] == node)
+                if not len(on):
+                    break
+                at, node = at[on], self.child[slot[on]].astype(np.int64)
+                worth = self.worth[node]
+                sums = start[at] + worth
+                won = np.flatnonzero((worth != NONE) & (sums > best[j + 1, at]))
+                to = at[won]
+                best[j + 1, to], back[j + 1, to], piece[j + 1, to] = sums[won], i, self.piece[node[won]]
+        steps, at, place = [], np.arange(n), size
+        spelled = np.zeros(n, bool)                         # has a character spelled in bytes
+        while len(at):
+            found = piece[place, at]
+            spelled[at[found < 0]] = True
+            steps.append((at, found))
+            place = back[place, at]
+            at, place = at[place > 0], place[place > 0]
+        count = np.bincount(np.concatenate([a for a, _ in steps]), minlength=n)
+        end = np.cumsum(count)
+        out = np.zeros(int(end[-1]), "<u2")
+        for k, (a, found) in enumerate(steps):
+            out[end[a] - 1 - k] = found
+        out, end = out.tobytes(), (2 * end).tolist()
+        total = best[size, np.arange(n)].tolist()
+        known = {t: (out[a:b], w) for t, a, b, w in zip(texts, [0, *end], end, total)}
+        known.update([(texts[i], self.segment(texts[i])) for i in np.flatnonzero(spelled).tolist()])
+        return known
+
+    def segments(self, texts):
+        """For each of some texts that no piece crosses at either end: (ids, weight); ids as 16-bit bytes."""
+        rows, part, size = [], [], 0
+        for t in texts:
+            part.append(t.encode())
+            size += len(part[-1])
+            if size >= PART:
+                rows += self._segments(part)
+                part, size = [], 0
+        return rows + self._segments(part)
+
+    def _segments(self, texts):
+        size = np.array(list(map(len, texts)), np.int64)
+        ends = np.cumsum(size)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        if not len(data):
+            return [(b"", 0)] * len(texts)
+        cut = self.apart[data[:-1], data[1:]]
+        cut[ends[(ends > 0) & (ends < len(data))] - 1] = True
+        first = np.r_[0, np.flatnonzero(cut) + 1, len(data)].astype(np.int32)
+        words = pa.StringArray.from_buffers(len(first) - 1, pa.py_buffer(first), pa.py_buffer(data)).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        found = list(map(self.cache.get, distinct))
+        new = [w for w, f in zip(distinct, found) if f is None]
+        solved = self._solved(short) if (short := [w for w in new if len(w) <= CACHE_CHARS]) else {}
+        if len(self.cache) < CACHE:
+            self.cache.update(solved)
+        found = [f or solved.get(w) or self.segment(w) for w, f in zip(distinct, found)]
+        ids = np.frombuffer(b"".join([f[0] for f in found]), "<u2")
+        count = np.array([len(f[0]) // 2 for f in found])
+        code = words.indices.to_numpy()
+        n, begin = count[code], (np.cumsum(count) - count)[code]
+        to = np.cumsum(n)
+        out = ids[np.repeat(begin - to + n, n) + np.arange(int(to[-1]))].tobytes()
+        weight = np.cumsum(np.array([f[1] for f in found])[code])      # may wrap; a text's own does not
+        word = np.searchsorted(first, ends)                 # words up to each text's end
+        at, sums = np.r_[0, 2 * to][word].tolist(), np.r_[0, weight][word]
+        return [(out[a:b], w) for a, b, w in zip([0, *at], at, np.diff(sums, prepend=0).tolist())]
+
     def encode(self, text):
-        return b"".join([self.segment(s)[0] for s in SEGMENT.findall(text)])
+        return self.segments([text])[0][0]
 
     def _ends(self, text, n):
         """First and last places of ``text[:n]`` (past the longest entry state) no piece crosses."""
@@ -153,7 +271,7 @@ class Vocabulary:
                     out[e, f] = w
             return out
         a, b = ends
-        middle = sum(self.segment(s)[1] for s in SEGMENT.findall(text[a:b]))
+        middle = self.segments([text[a:b]])[0][1]
         tail = self.forward(text[b:], {0: 0}, over)[0][n - b: n - b + size]
         for e in range(size):
             head = self.forward(text[:a], {e: 0})[0][a]
@@ -220,11 +338,9 @@ def _whole(path):
     def run(batches):
         vocab = Vocabulary.of(path)
         for b in batches:
-            rows = []
-            for doc, key, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
-                text = " " + text
-                rows.append(_row(vocab, doc, key, 0, text, len(text), vocab.encode(text), 0, 0))
-            yield _batch(rows)
+            texts = [" " + t for t in b.column("text").to_pylist()]
+            yield _batch([_row(vocab, doc, key, 0, text, len(text), ids, 0, 0) for doc, key, text, (ids, _) in zip(
+                b.column("doc_id").to_pylist(), b.column("key").to_pylist(), texts, vocab.segments(texts))])
     return run
 
 
