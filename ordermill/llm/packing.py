@@ -24,6 +24,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ DRAWS = 4                       # terms a remainder draws to find its shard
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 900_000, 32
 LINE_WORDS = 64                 # words encoded at a time
+PART = 1 << 22                  # bytes of text tokenized at a time
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -46,6 +48,9 @@ TOKENIZER = "word_bpe_49k.json"
 # tokenizer's own tables decide what they are.  Words that may hold a special token stay whole.
 LAST_LATIN, SPECIAL = "\u024f", "<|"
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+BLANKS = " \t\n\r"
+_MARK, _BLANK, _PLAIN = (np.isin(np.arange(256), [ord(c) for c in map(chr, range(127)) if f(c)])
+                         for f in (MARKS.__contains__, BLANKS.__contains__, str.isalnum))
 
 
 class Words:
@@ -92,18 +97,40 @@ class Words:
             found.update((w, ids[2 * a: 2 * b]) for w, a, b in zip(line, cut, cut[1:]))
         return found
 
+    @staticmethod
+    def words(texts):
+        """(words of all texts as a dictionary array, words up to the end of each text).  Words begin at
+        ASCII blanks and line ends, over which no pre-token reaches; the marks that end a word after a
+        plain letter or digit (see ``core``) are words of their own."""
+        texts = [f" {t}".encode() for t in texts]
+        ends = np.cumsum([len(t) for t in texts])
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        blank, mark = _BLANK[data], _MARK[data]
+        first = np.flatnonzero(blank)
+        run = np.flatnonzero(mark[1:] & _PLAIN[data[:-1]]) + 1
+        other = np.flatnonzero(~mark)                       # a run of marks ends before the next of these
+        after = np.r_[other, len(data)][np.searchsorted(other, run)]
+        run = run[np.r_[blank, True][after]]
+        special = np.flatnonzero((data[:-1] == ord(SPECIAL[0])) & (data[1:] == ord(SPECIAL[1])))
+        if len(special):
+            whole = np.searchsorted(first, special, "right")
+            run = run[~np.isin(np.searchsorted(first, run, "right"), whole)]
+        begin = np.sort(np.r_[first, run, len(data)])
+        place = (begin - np.searchsorted(first, begin)).astype(np.int32)        # without the blanks
+        words = pa.StringArray.from_buffers(len(begin) - 1, pa.py_buffer(place), pa.py_buffer(data[~blank]))
+        return words.dictionary_encode(), np.searchsorted(begin, ends)
+
     def ids(self, texts):
-        """16-bit ids (bytes) of each text.  Words end at ASCII blanks and line ends,
-        over which no pre-token reaches."""
-        known, words, ends = self.known, [], []
-        for t in texts:
-            words += t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            ends.append(len(words))
+        """16-bit ids (bytes) of each text."""
+        if not texts:
+            return []
+        known = self.known
+        found, ends = self.words(texts)
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = list(map(known.get, words))
         if None in codes:
             missing = [i for i, c in enumerate(codes) if c is None]
-            new = {words[i] for i in missing}
-            parts = {w: self.core(w) for w in new}
+            parts = {w: self.core(w) for w in {words[i] for i in missing}}
             cores = list({c for p in parts.values() for c in p}.difference(known))
             fresh = self.encoded(cores)
             whole = {w: (fresh[c] if c in fresh else known[c]) + (fresh[m] if m in fresh else known[m])
@@ -113,7 +140,13 @@ class Words:
             if len(known) < CACHE_WORDS:
                 fresh.update(whole)
                 known.update([(w, c) for w, c in fresh.items() if len(w) <= CACHE_CHARS])
-        return [b"".join(codes[a:b]) for a, b in zip([0, *ends], ends)]
+        ids, count = np.frombuffer(b"".join(codes), "<u2"), np.array([len(c) // 2 for c in codes])
+        code = found.indices.to_numpy()
+        n, begin = count[code], (np.cumsum(count) - count)[code]
+        to = np.cumsum(n)
+        out = ids[np.repeat(begin - to + n, n) + np.arange(int(to[-1]))].tobytes()
+        ends = np.r_[0, 2 * to][ends].tolist()
+        return [out[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _crc(ids: bytes) -> int:
@@ -159,6 +192,14 @@ class Statistics:
         return self.idf[term] * tf * np.float32(K1 + 1) / (tf + norm[doc])
 
 
+def _parts(batch):
+    """Slices of a batch of about ``PART`` bytes of text each, and at most 2^15 rows."""
+    size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = np.searchsorted(size, np.arange(PART, size[-1] if len(size) else 0, PART))
+    at = np.unique(np.r_[0, at, np.arange(0, batch.num_rows, 1 << 15), batch.num_rows]).tolist()
+    return [batch.slice(a, b - a) for a, b in zip(at, at[1:])]
+
+
 def _tokenize(path, end_id, window, keep_ids):
     tail = np.array([end_id], "<u2").tobytes()
 
@@ -166,8 +207,7 @@ def _tokenize(path, end_id, window, keep_ids):
         words = Words.of(path)
         docs, tokens, df = 0, 0, np.zeros(TERMS, np.int64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in _parts(batch):
                 texts = part.column("text").to_pylist()
                 out, rest = [], []
                 for doc, ids in zip(part.column("doc_id").to_pylist(), words.ids(texts)):

@@ -224,7 +224,7 @@ class Vocabulary:
         cut[ends[(ends > 0) & (ends < len(data))] - 1] = True
         first = np.r_[0, np.flatnonzero(cut) + 1, len(data)].astype(np.int32)
         words = pa.StringArray.from_buffers(len(first) - 1, pa.py_buffer(first), pa.py_buffer(data)).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.cache.get, distinct))
         new = [w for w, f in zip(distinct, found) if f is None]
         solved = self._solved(short) if (short := [w for w in new if len(w) <= CACHE_CHARS]) else {}
