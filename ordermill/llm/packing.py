@@ -38,7 +38,7 @@ DRAWS = 4                       # terms a remainder draws to find its shard
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_CHARS = 900_000, 32
 LINE_WORDS = 64                 # words encoded at a time
-PART = 1 << 22                  # bytes of text tokenized at a time
+PART = 1 << 23                  # bytes of text tokenized at a time
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -144,7 +144,9 @@ class Words:
         code = found.indices.to_numpy()
         n, begin = count[code], (np.cumsum(count) - count)[code]
         to = np.cumsum(n)
-        out = ids[np.repeat(begin - to + n, n) + np.arange(int(to[-1]))].tobytes()
+        at = np.repeat((begin - to + n).astype(np.int32), n)            # a part has far fewer than 2^31 ids
+        at += np.arange(len(at), dtype=np.int32)
+        out = ids[at].tobytes()
         ends = np.r_[0, 2 * to][ends].tolist()
         return [out[a:b] for a, b in zip([0, *ends], ends)]
 
