@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ SHARD_DOCS = 1200               # remainders per shard; each is less than a wind
 TERMS = 1 << 16                 # ids are 16-bit
 DRAWS = 4                       # terms a remainder draws to find its shard
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_CHARS = 900_000, 32
-LINE_WORDS = 64                 # words encoded at a time
+CACHE_WORDS, CACHE_CHARS = 300_000, 32      # about 110 MB in a Python worker
+LINE_WORDS, LINES = 64, 256     # words of a line, lines encoded at a time
 PART = 1 << 23                  # bytes of text tokenized at a time
 TOKENIZER = "word_bpe_49k.json"
 
@@ -49,8 +50,9 @@ TOKENIZER = "word_bpe_49k.json"
 LAST_LATIN, SPECIAL = "\u024f", "<|"
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 BLANKS = " \t\n\r"
-_MARK, _BLANK, _PLAIN = (np.isin(np.arange(256), [ord(c) for c in map(chr, range(127)) if f(c)])
-                         for f in (MARKS.__contains__, BLANKS.__contains__, str.isalnum))
+_BLANK, _MARK, _PLAIN = 1, 2, 3
+_KINDS = bytes(_BLANK if c in BLANKS else _MARK if c in MARKS else _PLAIN if c.isascii() and c.isalnum() else 0
+               for c in map(chr, range(256)))
 
 
 class Words:
@@ -64,6 +66,7 @@ class Words:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         assert self.tokenizer.get_vocab_size() <= 1 << 16
+        self.last = self.endings(self.tokenizer)
 
     @classmethod
     def of(cls, path):
@@ -71,9 +74,23 @@ class Words:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
+    @staticmethod
+    def endings(tokenizer):
+        """Whether an id ends a pre-token (by id): each pre-token of one or more bytes has one such id, its
+        last.  None for tokenizers that do not tell."""
+        from tokenizers.pre_tokenizers import ByteLevel
+        suffix, vocab = getattr(tokenizer.model, "end_of_word_suffix", None), tokenizer.get_vocab()
+        if not suffix or not all(c + suffix in vocab for c in ByteLevel.alphabet()):
+            return None
+        last = np.zeros(1 << 16, bool)
+        last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return last
+
     @staticmethod
     def core(word):
         """(word without the marks that end it, those marks); letters are lower-cased anyway."""
+        if word.isalpha():
+            return word.lower() if word.isascii() else word, ""
         if SPECIAL in word:
             return word, ""
         if word.isascii():
@@ -85,16 +102,32 @@ class Words:
 
     def encoded(self, words):
         """{word: ids}; words that hold no special token are encoded many at a time, a blank
-        between them, and told apart by the places their ids come from."""
-        plain = [w for w in words if SPECIAL not in w]
+        between them.  Words of letters are one pre-token each, as a rule: a line with as many
+        pre-tokens as words is told apart by the ids that end them, any other by the places
+        its ids come from."""
+        letters = [w for w in words if w.isalpha()] if self.last is not None else []
+        found, placed = {}, []
+        for lo in range(0, len(letters), LINE_WORDS * LINES):
+            lines = [letters[i:i + LINE_WORDS] for i in range(lo, min(lo + LINE_WORDS * LINES, len(letters)), LINE_WORDS)]
+            for line, e in zip(lines, self.tokenizer.encode_batch_fast(list(map(" ".join, lines)), add_special_tokens=False)):
+                ids = array("H", e.ids)
+                cut = (2 * np.flatnonzero(self.last[np.frombuffer(ids, np.uint16)]) + 2).tolist()
+                if len(cut) == len(line):
+                    ids = ids.tobytes()
+                    found.update((w, ids[a:b]) for w, a, b in zip(line, [0, *cut], cut))
+                else:
+                    placed += line
+        placed += [w for w in words if not w.isalpha() or self.last is None]
+        plain = [w for w in placed if SPECIAL not in w]
         lines = [plain[i:i + LINE_WORDS] for i in range(0, len(plain), LINE_WORDS)]
-        lines += [[w] for w in words if SPECIAL in w]
-        found = {}
-        for line, e in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
-            begin = np.cumsum([0] + [len(w) + 1 for w in line])
-            cut = np.searchsorted([a for a, _ in e.offsets], begin).tolist()
-            ids = array("H", e.ids).tobytes()
-            found.update((w, ids[2 * a: 2 * b]) for w, a, b in zip(line, cut, cut[1:]))
+        lines += [[w] for w in placed if SPECIAL in w]
+        for lo in range(0, len(lines), LINES):
+            some = lines[lo: lo + LINES]
+            for line, e in zip(some, self.tokenizer.encode_batch(list(map(" ".join, some)), add_special_tokens=False)):
+                begin = np.cumsum([0] + [len(w) + 1 for w in line])
+                cut = np.searchsorted([a for a, _ in e.offsets], begin).tolist()
+                ids = array("H", e.ids).tobytes()
+                found.update((w, ids[2 * a: 2 * b]) for w, a, b in zip(line, cut, cut[1:]))
         return found
 
     @staticmethod
@@ -102,27 +135,31 @@ class Words:
         """(words of all texts as a dictionary array, words up to the end of each text).  Words begin at
         ASCII blanks and line ends, over which no pre-token reaches; the marks that end a word after a
         plain letter or digit (see ``core``) are words of their own."""
-        texts = [f" {t}".encode() for t in texts]
-        ends = np.cumsum([len(t) for t in texts])
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        blank, mark = _BLANK[data], _MARK[data]
-        first = np.flatnonzero(blank)
-        run = np.flatnonzero(mark[1:] & _PLAIN[data[:-1]]) + 1
-        other = np.flatnonzero(~mark)                       # a run of marks ends before the next of these
-        after = np.r_[other, len(data)][np.searchsorted(other, run)]
-        run = run[np.r_[blank, True][after]]
-        special = np.flatnonzero((data[:-1] == ord(SPECIAL[0])) & (data[1:] == ord(SPECIAL[1])))
-        if len(special):
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) + 1, dtype=np.int64)
+        raw = b" " + pc.binary_join(pa.ListArray.from_arrays([0, len(texts)], texts), " ")[0].as_buffer().to_pybytes()
+        kind = np.frombuffer((raw + b" ").translate(_KINDS), np.uint8)     # the blank after it ends the last run
+        start = kind[:-1] == _BLANK
+        mark = kind == _MARK
+        turn = np.flatnonzero(mark[1:] != mark[:-1]) + 1    # runs of marks begin and end
+        run, after = turn[::2], turn[1::2]
+        run = run[(kind[run - 1] == _PLAIN) & (kind[after] == _BLANK)]
+        if SPECIAL.encode() in raw:
+            first, data = np.flatnonzero(start), np.frombuffer(raw, np.uint8)
+            special = np.flatnonzero((data[:-1] == ord(SPECIAL[0])) & (data[1:] == ord(SPECIAL[1])))
             whole = np.searchsorted(first, special, "right")
             run = run[~np.isin(np.searchsorted(first, run, "right"), whole)]
-        begin = np.sort(np.r_[first, run, len(data)])
-        place = (begin - np.searchsorted(first, begin)).astype(np.int32)        # without the blanks
-        words = pa.StringArray.from_buffers(len(begin) - 1, pa.py_buffer(place), pa.py_buffer(data[~blank]))
+        start[run] = True
+        begin = np.flatnonzero(start)
+        blanks = np.cumsum(np.r_[0, kind[begin] == _BLANK], dtype=np.int64)
+        place = (np.r_[begin, len(raw)] - blanks).astype(np.int32)              # without the blanks
+        letters = raw.translate(None, BLANKS.encode())
+        words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(place), pa.py_buffer(letters))
         return words.dictionary_encode(), np.searchsorted(begin, ends)
 
     def ids(self, texts):
-        """16-bit ids (bytes) of each text."""
-        if not texts:
+        """16-bit ids (bytes) of each text (a list, or an Arrow array)."""
+        if not len(texts):
             return []
         known = self.known
         found, ends = self.words(texts)
@@ -137,10 +174,9 @@ class Words:
                      for w, (c, m) in parts.items()}
             for i in missing:
                 codes[i] = whole[words[i]]
-            if len(known) < CACHE_WORDS:
-                fresh.update(whole)
-                known.update([(w, c) for w, c in fresh.items() if len(w) <= CACHE_CHARS])
-        ids, count = np.frombuffer(b"".join(codes), "<u2"), np.array([len(c) // 2 for c in codes])
+            fresh.update(whole)
+            known.update(islice(((w, c) for w, c in fresh.items() if len(w) <= CACHE_CHARS), max(CACHE_WORDS - len(known), 0)))
+        ids, count = np.frombuffer(b"".join(codes), "<u2"), np.fromiter(map(len, codes), np.int64, len(codes)) // 2
         code = found.indices.to_numpy()
         n, begin = count[code], (np.cumsum(count) - count)[code]
         to = np.cumsum(n)
@@ -210,9 +246,8 @@ def _tokenize(path, end_id, window, keep_ids):
         docs, tokens, df = 0, 0, np.zeros(TERMS, np.int64)
         for batch in batches:
             for part in _parts(batch):
-                texts = part.column("text").to_pylist()
                 out, rest = [], []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), words.ids(texts)):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), words.ids(part.column("text"))):
                     ids += tail
                     n = len(ids) // 2
                     whole = n - n % window
